@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from . import mixing
+from . import fingerprints, mixing
 
 QUERIES = {
+    "op1_fingerprint": fingerprints.op1_fingerprint,
     "op7_mix": mixing.op7_mix,
 }
 
