@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from . import fingerprints, mixing
+from . import fingerprints, mixing, simhash
 
 QUERIES = {
     "op1_fingerprint": fingerprints.op1_fingerprint,
     "op7_mix": mixing.op7_mix,
+    "op10_simhash": simhash.op10_simhash,
 }
 
 ORACLES = {
