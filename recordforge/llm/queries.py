@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from . import fingerprints, mixing, simhash
+from . import fingerprints, mixing, simhash, substrings
 
 QUERIES = {
     "op1_fingerprint": fingerprints.op1_fingerprint,
+    "op2_substrings": substrings.op2_substrings,
     "op7_mix": mixing.op7_mix,
     "op10_simhash": simhash.op10_simhash,
 }
 
 ORACLES = {
+    "op2_substrings": substrings.ORACLE,
     "op7_mix": mixing.ORACLE,
 }
