@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from . import fingerprints, mixing, simhash, substrings
+from . import fingerprints, mixing, pii, simhash, substrings
 
 QUERIES = {
     "op1_fingerprint": fingerprints.op1_fingerprint,
     "op2_substrings": substrings.op2_substrings,
+    "op6_pii": pii.op6_pii,
     "op7_mix": mixing.op7_mix,
     "op10_simhash": simhash.op10_simhash,
 }
