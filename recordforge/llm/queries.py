@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from . import fingerprints, mixing, pii, simhash, substrings
+from . import fingerprints, mixing, pii, simhash, substrings, urls
 
 QUERIES = {
     "op1_fingerprint": fingerprints.op1_fingerprint,
     "op2_substrings": substrings.op2_substrings,
+    "op5_urls": urls.op5_urls,
     "op6_pii": pii.op6_pii,
     "op7_mix": mixing.op7_mix,
     "op10_simhash": simhash.op10_simhash,
@@ -14,5 +15,6 @@ QUERIES = {
 
 ORACLES = {
     "op2_substrings": substrings.ORACLE,
+    "op5_urls": urls.ORACLE,
     "op7_mix": mixing.ORACLE,
 }
