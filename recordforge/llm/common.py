@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 import atexit
+import os
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -58,6 +61,26 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def _ship(spark: SparkSession) -> None:
+    """Let Python workers import this package where they would not find it by themselves."""
+    sc, root = spark.sparkContext, Path(__file__).resolve().parents[2]
+    if str(root) in (sc.environment.get("PYTHONPATH", "") + ":" + os.environ.get("PYTHONPATH", "")).split(":"):
+        return
+    sc.environment["PYTHONPATH"] = ":".join(filter(None, [str(root), sc.environment.get("PYTHONPATH", "")]))
+    if not sc.master.startswith("local["):
+        path = Path(tempfile.mkdtemp(prefix="recordforge-")) / "recordforge.zip"
+        with zipfile.ZipFile(path, "w") as z:
+            for f in (root / "recordforge").rglob("*.py"):
+                z.write(f, f.relative_to(root))
+        sc.addPyFile(str(path))
+
+
+def map_in_pandas(df: DataFrame, fn, schema: str) -> DataFrame:
+    """``df.mapInPandas`` with this package within the workers' reach."""
+    _ship(df.sparkSession)
+    return df.mapInPandas(fn, schema)
+
+
 def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     """Connected components of ``edges (u, v)``: rows ``(node, component)``, the smallest node.
 

@@ -64,7 +64,7 @@ def fingerprints(docs: DataFrame, words: int = 5) -> DataFrame:
             fp = np.array([text_fingerprint(t, words) for t in b["text"]], np.uint64).view(np.int64)
             yield pd.DataFrame({"doc_id": b["doc_id"], "fp": fp})
 
-    return docs.select("doc_id", "text").mapInPandas(run, "doc_id long, fp long")
+    return common.map_in_pandas(docs.select("doc_id", "text"), run, "doc_id long, fp long")
 
 
 def _merge(label: np.ndarray, u: np.ndarray, v: np.ndarray) -> None:
@@ -203,7 +203,7 @@ def links(fps: DataFrame, budget: int = 4) -> DataFrame:
         at = np.flatnonzero(label != np.arange(len(label)))
         return pd.DataFrame({"u": fp[at].view(np.int64), "v": fp[label[at]].view(np.int64)})
 
-    return dealt.mapInPandas(run, "u long, v long")
+    return common.map_in_pandas(dealt, run, "u long, v long")
 
 
 def near_groups(docs: DataFrame, words: int = 5, budget: int = 4) -> DataFrame:

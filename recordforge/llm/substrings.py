@@ -158,7 +158,7 @@ def intervals(docs: DataFrame, window: int) -> DataFrame:
                 yield pd.DataFrame({"k1": k1, "k2": k2, "pos": pos.astype(np.int32), "w1": w[0], "w2": w[1], "many": np.repeat(many, n).astype(np.int32)})
 
     keys = ["k1", "k2"]
-    all_runs = common.written(docs.mapInPandas(to_runs, "k1 long, k2 long, g long, h long, s int, e int"), "sub-runs")
+    all_runs = common.written(common.map_in_pandas(docs, to_runs, "k1 long, k2 long, g long, h long, s int, e int"), "sub-runs")
     seen = all_runs.groupBy("g").agg(F.count("*").alias("n"), F.min("h").alias("lo"), F.max("h").alias("hi"))
     again = seen.where("n > 1").select("g", (F.col("lo") == F.col("hi")).alias("alike"))
     some = common.written(all_runs.join(again, "g"), "sub-again")
@@ -175,7 +175,7 @@ def intervals(docs: DataFrame, window: int) -> DataFrame:
     shown = shown.groupBy("g", "h").agg(F.min(F.struct(*keys, "s", "e")).alias("x")).select("x.*").select(*keys, packed(1).alias("run"))
     asked = once.unionByName(shown).groupBy(*keys).agg(F.collect_list("run").alias("runs"))
     single = docs.join(asked, keys).select(*keys, "text", "runs")
-    windows = common.written(single.mapInPandas(to_windows, "k1 long, k2 long, pos int, w1 long, w2 long, many int"), "sub-windows")
+    windows = common.written(common.map_in_pandas(single, to_windows, "k1 long, k2 long, pos int, w1 long, w2 long, many int"), "sub-windows")
     found = windows.groupBy("w1", "w2").agg(F.sum(F.col("many") + 1).alias("n")).where("n > 1").drop("n")
     found = windows.where("many = 0").join(found, ["w1", "w2"]).select(*keys, F.col("pos").alias("s"), F.col("pos").alias("e"))
     return alike.unionByName(twice).unionByName(found).distinct()
@@ -225,7 +225,7 @@ def _applied(docs: DataFrame, window: int, digest: bool) -> DataFrame:
     kind = "kept_sha256 string" if digest else "removed array<array<int>>, kept string"
     kind = f"doc_id long, n_words long, n_removed long, {kind}"
     names = [x.split()[0] for x in kind.split(", ")]
-    return docs.join(found, ["k1", "k2"], "left").select("doc_id", "text", "found").mapInPandas(cut, kind)
+    return common.map_in_pandas(docs.join(found, ["k1", "k2"], "left").select("doc_id", "text", "found"), cut, kind)
 
 
 def op2_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
