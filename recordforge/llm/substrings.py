@@ -94,7 +94,7 @@ def words_of(buf: bytes) -> tuple[np.ndarray, np.ndarray]:
 
 
 def runs(texts: list[bytes], window: int) -> Iterator[tuple[np.ndarray, ...]]:
-    """Runs of windows with one minimizer: (text, gram hash, hash of all its words, first window, last window)."""
+    """Runs of windows with one minimizer: (text, gram hash, hash of a run's words, equal runs, first window, last window)."""
     gram = min(GRAM, window)
     span = window - gram + 1
     start, h = words_of(b"\n".join(texts))
@@ -115,7 +115,14 @@ def runs(texts: list[bytes], window: int) -> Iterator[tuple[np.ndarray, ...]]:
         e = np.flatnonzero(whole & np.concatenate([new[1:] | ~whole[1:], [True]]))
         p = least[s]
         shape = ((p - s) * window + (e - s)).astype(np.uint64)
-        yield doc[s], grams[p], _mix(b.of(s, e + window) + shape), s + at - first[doc[s]], e + at - first[doc[s]]
+        g, all_ = grams[p], _mix(b.of(s, e + window) + shape)
+        # equal runs that follow each other, as in a word repeated over and over, are one row
+        head = np.ones(len(s), bool)
+        head[1:] = (g[1:] != g[:-1]) | (all_[1:] != all_[:-1]) | (s[1:] != e[:-1] + 1) | (doc[s[1:]] != doc[s[:-1]])
+        i = np.flatnonzero(head)
+        n = np.diff(np.append(i, len(s)))
+        s, e = s[i], e[i + n - 1]
+        yield doc[s], g[i], all_[i], n, s + at - first[doc[s]], e + at - first[doc[s]]
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
@@ -143,8 +150,8 @@ def intervals(docs: DataFrame, window: int) -> DataFrame:
         for b in batches:
             k1, k2 = b["k1"].to_numpy(), b["k2"].to_numpy()
             for at, texts in _batches(b):
-                for d, g, h, s, e in runs(texts, window):
-                    yield pd.DataFrame({"k1": k1[at + d], "k2": k2[at + d], "g": g.view(np.int64), "h": h.view(np.int64), "s": s.astype(np.int32), "e": e.astype(np.int32)})
+                for d, g, h, n, s, e in runs(texts, window):
+                    yield pd.DataFrame({"k1": k1[at + d], "k2": k2[at + d], "g": g.view(np.int64), "h": h.view(np.int64), "c": n, "s": s.astype(np.int32), "e": e.astype(np.int32)})
 
     def to_windows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
@@ -158,21 +165,22 @@ def intervals(docs: DataFrame, window: int) -> DataFrame:
                 yield pd.DataFrame({"k1": k1, "k2": k2, "pos": pos.astype(np.int32), "w1": w[0], "w2": w[1], "many": np.repeat(many, n).astype(np.int32)})
 
     keys = ["k1", "k2"]
-    all_runs = common.written(common.map_in_pandas(docs, to_runs, "k1 long, k2 long, g long, h long, s int, e int"), "sub-runs")
-    seen = all_runs.groupBy("g").agg(F.count("*").alias("n"), F.min("h").alias("lo"), F.max("h").alias("hi"))
+    all_runs = common.written(common.map_in_pandas(docs, to_runs, "k1 long, k2 long, g long, h long, c long, s int, e int"), "sub-runs")
+    seen = all_runs.groupBy("g").agg(F.sum("c").alias("n"), F.min("h").alias("lo"), F.max("h").alias("hi"))
     again = seen.where("n > 1").select("g", (F.col("lo") == F.col("hi")).alias("alike"))
     some = common.written(all_runs.join(again, "g"), "sub-again")
     alike = some.where("alike").select(*keys, "s", "e")
 
     mixed = some.where("not alike").drop("alike")
-    spans = common.written(mixed.groupBy("g", "h").agg(F.count("*").alias("n")), "sub-spans")
-    odd = spans.groupBy("g").agg(F.min("n").alias("least")).where("least = 1").select("g")
+    spans = common.written(mixed.groupBy("g", "h").agg(F.sum("c").alias("n")), "sub-spans")
+    odd = common.written(spans.groupBy("g").agg(F.min("n").alias("least")).where("least = 1").select("g"), "sub-odd")
     twice = mixed.join(spans.where("n > 1").drop("n"), ["g", "h"]).select(*keys, "s", "e")
     # a run is at most a window long, so 20 bits hold its length
     packed = lambda many: F.shiftleft(F.col("s").cast("long"), 21) + (F.col("e") - F.col("s")) * 2 + F.lit(many)
     once = mixed.join(spans.where("n = 1").drop("n"), ["g", "h"]).select(*keys, packed(0).alias("run"))
     shown = mixed.join(spans.where("n > 1").join(odd, "g").drop("n"), ["g", "h"])
-    shown = shown.groupBy("g", "h").agg(F.min(F.struct(*keys, "s", "e")).alias("x")).select("x.*").select(*keys, packed(1).alias("run"))
+    one = F.col("s") + F.floor((F.col("e") - F.col("s") + 1) / F.col("c")).cast("int") - 1
+    shown = shown.groupBy("g", "h").agg(F.min(F.struct(*keys, "s", one.alias("e"))).alias("x")).select("x.*").select(*keys, packed(1).alias("run"))
     asked = once.unionByName(shown).groupBy(*keys).agg(F.collect_list("run").alias("runs"))
     single = docs.join(asked, keys).select(*keys, "text", "runs")
     windows = common.written(common.map_in_pandas(single, to_windows, "k1 long, k2 long, pos int, w1 long, w2 long, many int"), "sub-windows")

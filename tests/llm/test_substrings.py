@@ -27,7 +27,7 @@ def corpus(seed, n=60, vocab=40, lines=25):
     for i in range(n):
         parts = [rng.choice(passages) if rng.random() < 0.4 else " ".join(f"v{rng.randrange(10**6)}" for _ in range(rng.randrange(30))) for _ in range(rng.randrange(9))]
         rows.append((i, rng.choice([" ", "\n", "\t ", "\x0b"]).join(parts)))
-    rows += [(100, None), (101, ""), (102, " \n"), (103, "a " * 300), (None, rows[3][1]), (3, rows[3][1]), (104, "é\x85à " * 50)]
+    rows += [(100, None), (101, ""), (102, " \n"), (103, "a " * 300), (105, "x y " * 200), (106, "p q r a " * 90), (None, rows[3][1]), (3, rows[3][1]), (104, "é\x85à " * 50)]
     return rows
 
 
@@ -49,7 +49,7 @@ def test_runs_hold_every_window_once():
     rng = random.Random(5)
     texts = [" ".join(rng.choice("abc") for _ in range(n)).encode() for n in (0, 3, 10, 11, 400, 0, 12, 9)]
     got = Counter()
-    for d, _, _, s, e in substrings.runs(texts, 10):
+    for d, _, _, _, s, e in substrings.runs(texts, 10):
         for x, a, b in zip(d, s, e):
             got.update((int(x), i) for i in range(a, b + 1))
     assert got == Counter((k, i) for k, t in enumerate(texts) for i in range(len(t.split()) - 9))
