@@ -81,6 +81,12 @@ def map_in_pandas(df: DataFrame, fn, schema: str) -> DataFrame:
     return df.mapInPandas(fn, schema)
 
 
+def map_in_arrow(df: DataFrame, fn, schema) -> DataFrame:
+    """``df.mapInArrow`` with this package within the workers' reach."""
+    _ship(df.sparkSession)
+    return df.mapInArrow(fn, schema)
+
+
 def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     """Connected components of ``edges (u, v)``: rows ``(node, component)``, the smallest node.
 

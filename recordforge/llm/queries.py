@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import fingerprints, language, mixing, pii, simhash, substrings, urls
+from . import fingerprints, language, mixing, pii, sentencepieces, simhash, substrings, urls
 
 QUERIES = {
     "op1_fingerprint": fingerprints.op1_fingerprint,
@@ -11,6 +11,7 @@ QUERIES = {
     "op5_urls": urls.op5_urls,
     "op6_pii": pii.op6_pii,
     "op7_mix": mixing.op7_mix,
+    "op9_sentencepiece": sentencepieces.op9_sentencepiece,
     "op10_simhash": simhash.op10_simhash,
 }
 
