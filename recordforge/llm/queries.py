@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from . import fingerprints, language, mixing, pii, sentencepieces, simhash, substrings, urls
+from . import fingerprints, language, licenses, mixing, pii, sentencepieces, simhash, substrings, urls
 
 QUERIES = {
     "op1_fingerprint": fingerprints.op1_fingerprint,
     "op2_substrings": substrings.op2_substrings,
     "op3_language": language.op3_language,
+    "op4_licenses": licenses.op4_licenses,
     "op5_urls": urls.op5_urls,
     "op6_pii": pii.op6_pii,
     "op7_mix": mixing.op7_mix,
