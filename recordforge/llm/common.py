@@ -9,6 +9,7 @@ import uuid
 import zipfile
 from pathlib import Path
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -61,7 +62,7 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def _ship(spark: SparkSession) -> None:
+def ship(spark: SparkSession) -> None:
     """Let Python workers import this package where they would not find it by themselves."""
     sc, root = spark.sparkContext, Path(__file__).resolve().parents[2]
     if str(root) in (sc.environment.get("PYTHONPATH", "") + ":" + os.environ.get("PYTHONPATH", "")).split(":"):
@@ -77,16 +78,32 @@ def _ship(spark: SparkSession) -> None:
 
 def map_in_pandas(df: DataFrame, fn, schema: str) -> DataFrame:
     """``df.mapInPandas`` with this package within the workers' reach."""
-    _ship(df.sparkSession)
+    ship(df.sparkSession)
     return df.mapInPandas(fn, schema)
 
 
 def map_in_arrow(df: DataFrame, fn, schema) -> DataFrame:
     """``df.mapInArrow`` with this package within the workers' reach."""
-    _ship(df.sparkSession)
+    ship(df.sparkSession)
     return df.mapInArrow(fn, schema)
 
 
+def merge_labels(label: np.ndarray, u: np.ndarray, v: np.ndarray) -> None:
+    """Join the sets of u and v in place; a label is the smallest member, always fully followed."""
+    while True:
+        a, b = label[u], label[v]
+        open_ = a != b
+        if not open_.any():
+            return
+        u, v, a, b = u[open_], v[open_], a[open_], b[open_]
+        np.minimum.at(label, np.maximum(a, b), np.minimum(a, b))
+        while True:
+            up = label[label]
+            if (up == label).all():
+                break
+            label[:] = up
+
+
 def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     """Connected components of ``edges (u, v)``: rows ``(node, component)``, the smallest node.
 

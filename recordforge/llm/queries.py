@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import fingerprints, language, licenses, mixing, pii, sentencepieces, simhash, substrings, urls
+from . import covertree, fingerprints, language, licenses, mixing, pii, sentencepieces, simhash, substrings, urls
 
 QUERIES = {
     "op1_fingerprint": fingerprints.op1_fingerprint,
@@ -12,6 +12,7 @@ QUERIES = {
     "op5_urls": urls.op5_urls,
     "op6_pii": pii.op6_pii,
     "op7_mix": mixing.op7_mix,
+    "op8_embeddings": covertree.op8_embeddings,
     "op9_sentencepiece": sentencepieces.op9_sentencepiece,
     "op10_simhash": simhash.op10_simhash,
 }
@@ -20,4 +21,5 @@ ORACLES = {
     "op2_substrings": substrings.ORACLE,
     "op5_urls": urls.ORACLE,
     "op7_mix": mixing.ORACLE,
+    "op8_embeddings": covertree.ORACLE,
 }

@@ -67,22 +67,6 @@ def fingerprints(docs: DataFrame, words: int = 5) -> DataFrame:
     return common.map_in_pandas(docs.select("doc_id", "text"), run, "doc_id long, fp long")
 
 
-def _merge(label: np.ndarray, u: np.ndarray, v: np.ndarray) -> None:
-    """Join the sets of u and v; a label is the smallest member, always fully followed."""
-    while True:
-        a, b = label[u], label[v]
-        open_ = a != b
-        if not open_.any():
-            return
-        u, v, a, b = u[open_], v[open_], a[open_], b[open_]
-        np.minimum.at(label, np.maximum(a, b), np.minimum(a, b))
-        while True:
-            up = label[label]
-            if (up == label).all():
-                break
-            label[:] = up
-
-
 def trie_links(fp: np.ndarray, roots: np.ndarray, budget: int) -> np.ndarray:
     """Labels of the components that pairs within ``budget`` bits make of sorted runs of fingerprints.
 
@@ -106,7 +90,7 @@ def trie_links(fp: np.ndarray, roots: np.ndarray, budget: int) -> np.ndarray:
         k = np.arange(len(which)) - np.repeat(np.cumsum(n) - n, n)
         u, v = alo[which] + k // nb[which], blo[which] + k % nb[which]
         near = (np.bitwise_count(fp[u] ^ fp[v]) <= budget) & (u != v)
-        _merge(label, u[near], v[near])
+        common.merge_labels(label, u[near], v[near])
 
     stack = [(63, *(roots[:, i].astype(np.int64) for i in range(4)), np.zeros(len(roots), np.int64))]
     while stack:
@@ -122,7 +106,7 @@ def trie_links(fp: np.ndarray, roots: np.ndarray, budget: int) -> np.ndarray:
         if not len(alo):
             continue
         if bit < 0:  # equal fingerprints of the two sides
-            _merge(label, alo, blo)
+            common.merge_labels(label, alo, blo)
             continue
         z = zeros_at(bit)
         am, bm = alo + z[ahi] - z[alo], blo + z[bhi] - z[blo]
