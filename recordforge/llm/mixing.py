@@ -95,10 +95,10 @@ def schedule(spark: SparkSession, quota: list[tuple[int, int]]) -> DataFrame:
     return ranked.unionByName(late)
 
 
-def mix(docs: DataFrame, weights=WEIGHTS, share_num: int = 3, share_den: int = 2, cap: int = 2) -> tuple[DataFrame, DataFrame]:
+def mix(docs: DataFrame, weights=WEIGHTS, share_num: int = 3, share_den: int = 2, cap: int = 2, keep: tuple[str, ...] = ()) -> tuple[DataFrame, DataFrame]:
     """The mix of ``docs (doc_id, source, text)``: (documents, pieces).
 
-    documents: doc_id, source, size, source_size, target, taken; one row for each row of the
+    documents: doc_id, the columns of ``keep``, source, size, source_size, target, taken; one row for each row of the
     input, repeated ids and all. pieces: slot, si, block, doc_id, words: which words count of which document a
     slot of the mix holds. A source's taken words are its target, rounded down. No document gives
     more than ``cap`` times its words. Documents without words (null, empty, blank) take nothing;
@@ -107,7 +107,7 @@ def mix(docs: DataFrame, weights=WEIGHTS, share_num: int = 3, share_den: int = 2
     """
     spark = docs.sparkSession
     key = F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
-    sizes = docs.select("doc_id", "source", word_count(F.col("text")).alias("size"))
+    sizes = docs.select("doc_id", *keep, "source", word_count(F.col("text")).alias("size"))
     sizes = common.written(sizes.withColumn("key", key), "mix-sizes")
     aims = common.written(targets(sizes, weights, share_num, share_den, cap), "mix-targets")
     plan = [(r.si, int(r.target)) for r in aims.orderBy("si").collect()]
@@ -117,14 +117,14 @@ def mix(docs: DataFrame, weights=WEIGHTS, share_num: int = 3, share_den: int = 2
     aims = aims.withColumn("has", F.floor("target"))
     named = sizes.join(aims, sizes.source.eqNullSafe(aims.source)).drop(aims.source).drop("source_size", "target")
     named = named.withColumn("bucket", F.substring("key", 1, 3))
-    inside = Window.partitionBy("si", "bucket").orderBy("key", "doc_id", "size")
+    inside = Window.partitionBy("si", "bucket").orderBy("key", "doc_id", "size", *keep)
     per = named.groupBy("si", "bucket").agg(F.sum("size").alias("n"))
     per = per.withColumn("before", F.sum("n").over(Window.partitionBy("si").orderBy("bucket")) - F.col("n")).drop("n")
     laid = named.withColumn("in_bucket", F.sum("size").over(inside.rowsBetween(Window.unboundedPreceding, 0)) - F.col("size"))
     laid = laid.join(per, ["si", "bucket"]).withColumn("start", F.col("before") + F.col("in_bucket"))
     whole = aims.select("si", "source_size", "target")
 
-    laid = laid.join(whole, "si").select("doc_id", "source", "size", "si", "has", "start", "source_size", "target")
+    laid = laid.join(whole, "si").select("doc_id", *keep, "source", "size", "si", "has", "start", "source_size", "target")
     turns = F.explode(F.sequence(F.lit(0), F.lit(cap - 1)))
     turned = laid.select("*", turns.alias("turn")).withColumn("at", F.col("start") + F.col("turn") * F.col("source_size"))
     turned = turned.withColumn("end", F.least(F.col("at") + F.col("size"), F.col("has")))
@@ -139,7 +139,7 @@ def mix(docs: DataFrame, weights=WEIGHTS, share_num: int = 3, share_den: int = 2
     else:
         slots = schedule(spark, quota)
     met = cut.join(slots, ["si", "block"], "left")
-    by = ["doc_id", "source", "size", "source_size", "target", "si", "start"]
+    by = ["doc_id", *keep, "source", "size", "source_size", "target", "si", "start"]
     taken = F.coalesce(F.sum(F.when(F.col("slot").isNotNull(), F.col("words"))), F.lit(0)).alias("taken")
     # rows without words share a place in the stream, so they are told apart by not being grouped
     some = met.where("size > 0").groupBy(*by).agg(taken).drop("si", "start")
@@ -148,6 +148,33 @@ def mix(docs: DataFrame, weights=WEIGHTS, share_num: int = 3, share_den: int = 2
     return some.unionByName(none), pieces
 
 
+def mixed(docs: DataFrame, **how) -> DataFrame:
+    """``docs`` as the mix has them: each document as often as its taken words make it, rounded.
+
+    All columns are kept. Repeated rows share what the mix takes of them.
+    """
+    keyed = docs.withColumn("_h", F.xxhash64("text"))
+    taken, _ = mix(keyed, keep=("_h",), **how)
+    times = F.floor(F.col("taken") / F.col("size") + 0.5).cast("int")
+    taken = taken.where("taken > 0").withColumn("times", times)
+    same = ["doc_id", "source", "_h"]
+    taken = taken.groupBy(*[F.col(c).alias(f"{c}2") for c in same]).agg(F.sum("times").alias("times"))
+    rows = keyed.join(keyed.groupBy(*[F.col(c).alias(f"{c}1") for c in same]).agg(F.count("*").alias("rows")), _equal(same, "1")).drop(*[f"{c}1" for c in same])
+    rows = rows.join(taken, _equal(same, "2")).drop(*[f"{c}2" for c in same])
+    place = Window.partitionBy(*same).orderBy(F.lit(0))
+    alone = rows.where("rows = 1").withColumn("r", F.lit(1))
+    many = rows.where("rows > 1").withColumn("r", F.row_number().over(place))
+    rows = alone.unionByName(many).withColumn("n", (F.floor(F.col("times") / F.col("rows")) + F.when(F.col("r") <= F.col("times") % F.col("rows"), 1).otherwise(0)).cast("int"))
+    return rows.withColumn("_t", F.explode(F.array_repeat(F.lit(1), F.col("n")))).select(*docs.columns)
+
+
+def _equal(columns: list[str], mark: str) -> Column:
+    out = F.lit(True)
+    for c in columns:
+        out = out & F.col(c).eqNullSafe(F.col(c + mark))
+    return out
+
+
 def op7_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole documents table mixed with weights 3, 1, 2 to 150 % of its words."""
     out, _ = mix(common.table(spark, sf_dir, "documents", "doc_id", "source", "text"))

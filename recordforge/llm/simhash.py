@@ -20,9 +20,11 @@ from itertools import combinations
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from . import common
 
@@ -56,15 +58,16 @@ def text_fingerprint(text: str | None, words: int) -> int:
     return int(np.packbits(bits * 2 > total, bitorder="little").view(np.uint64)[0])
 
 
-def fingerprints(docs: DataFrame, words: int = 5) -> DataFrame:
-    """``docs (doc_id, text)`` to doc_id, fp (64 bits as a signed long). A null text has no words."""
+def fingerprints(docs: DataFrame, words: int = 5, keys: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+    """``docs (keys, text)`` to the keys and fp (64 bits as a signed long). A null text has no words."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            fp = np.array([text_fingerprint(t, words) for t in b["text"]], np.uint64).view(np.int64)
-            yield pd.DataFrame({"doc_id": b["doc_id"], "fp": fp})
+            fp = np.array([text_fingerprint(t, words) for t in b.column("text").to_pylist()], np.uint64).view(np.int64)
+            yield pa.RecordBatch.from_arrays([*b.select(list(keys)).columns, pa.array(fp)], names=[*keys, "fp"])
 
-    return common.map_in_pandas(docs.select("doc_id", "text"), run, "doc_id long, fp long")
+    schema = T.StructType([*docs.select(*keys).schema.fields, T.StructField("fp", T.LongType())])
+    return common.map_in_arrow(docs.select(*keys, "text"), run, schema)
 
 
 def trie_links(fp: np.ndarray, roots: np.ndarray, budget: int) -> np.ndarray:
@@ -190,8 +193,10 @@ def links(fps: DataFrame, budget: int = 4) -> DataFrame:
     return common.map_in_pandas(dealt, run, "u long, v long")
 
 
-def near_groups(docs: DataFrame, words: int = 5, budget: int = 4) -> DataFrame:
-    """Near-duplicate groups of ``docs (doc_id, text)``: doc_id, fp, component_id.
+def near_groups(docs: DataFrame, words: int = 5, budget: int = 4, keys: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+    """Near-duplicate groups of ``docs (doc_id, text)``: the keys (doc_id and others), fp, part, component_id.
+
+    part is the fingerprint that stands for the group.
 
     Fingerprints that differ in at most ``budget`` bits are linked; component_id is the smallest
     doc_id that links reach, the document included. Repeated rows and equal fingerprints share a component
@@ -199,13 +204,30 @@ def near_groups(docs: DataFrame, words: int = 5, budget: int = 4) -> DataFrame:
     others. Null ids are members and bridges but never name a component, unless it has no other id
     (then it is null). An empty table gives no rows.
     """
-    docs = common.written(fingerprints(docs, words), "simhash-fp")
+    docs = common.written(fingerprints(docs, words, keys), "simhash-fp")
     fps = common.written(docs.groupBy("fp").agg(F.min("doc_id").alias("rep")), "simhash-distinct")
     parts = common.components(links(fps.select("fp"), budget))
     named = fps.join(parts.withColumnRenamed("node", "fp"), "fp", "left").withColumn("part", F.coalesce("component", "fp"))
     least = named.groupBy("part").agg(F.min("rep").alias("component_id"))
-    named = named.select("fp", "part").join(least, "part").select("fp", "component_id")
-    return docs.join(named, "fp").select("doc_id", "fp", "component_id")
+    named = named.select("fp", "part").join(least, "part").select("fp", "part", "component_id")
+    return docs.join(named, "fp").select(*keys, "fp", "part", "component_id")
+
+
+def first_of_groups(docs: DataFrame, words: int = 5, budget: int = 4) -> DataFrame:
+    """``docs (doc_id, text, ...)`` with one row of each near-duplicate group: the smallest doc_id's.
+
+    All columns are kept. Among rows of that id the one with the smallest hash of its text stays; of
+    repeated rows one. A null id stays only where a group has no other.
+    """
+    keyed = docs.withColumn("_h", F.xxhash64(F.coalesce("text", F.lit("")), F.col("text").isNull()))
+    groups = near_groups(keyed, words, budget, ("doc_id", "_h"))
+    best = groups.groupBy("part").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_h")).alias("b")).select("b.doc_id", "b._h")
+    times = groups.groupBy("doc_id", "_h").agg(F.count("*").alias("n"))
+    best = best.join(times.withColumnsRenamed({"doc_id": "d", "_h": "h"}), F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("_h") == F.col("h"))).drop("doc_id", "_h")
+    kept = keyed.join(best, keyed.doc_id.eqNullSafe(best.d) & (keyed["_h"] == best.h)).drop("d", "h")
+    alone = kept.where("n = 1")
+    repeated = kept.where("n > 1").dropDuplicates(["doc_id", "_h"])
+    return alone.unionByName(repeated).select(*docs.columns)
 
 
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
