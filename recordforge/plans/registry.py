@@ -21,3 +21,11 @@ def query(name: str, sql: str | None = None):
         return fn
 
     return put
+
+
+def load() -> None:
+    """Import the modules that register queries."""
+    from . import evidence  # noqa: F401
+
+
+load()
