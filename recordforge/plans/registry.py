@@ -25,7 +25,7 @@ def query(name: str, sql: str | None = None):
 
 def load() -> None:
     """Import the modules that register queries."""
-    from . import evidence, records  # noqa: F401
+    from . import evidence, records, review  # noqa: F401
 
 
 load()
