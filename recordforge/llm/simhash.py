@@ -33,7 +33,9 @@ SEED = 42
 CHUNK = 1 << 16
 #: Node pairs walked at once.
 FRONT = 1 << 20
-#: A trie of more fingerprints than this is dealt out in parts.
+#: Fingerprints that a trie has on average, at most; beyond that more blocks are taken.
+TRIE = 1024
+#: A trie of more fingerprints than this (and than four average ones) is dealt out in parts.
 CROWD = 512
 
 
@@ -122,14 +124,15 @@ def trie_links(fp: np.ndarray, roots: np.ndarray, budget: int) -> np.ndarray:
     return label
 
 
-def _blocks(n: int, budget: int) -> list[int]:
-    """Masks of the choices of agreeing blocks: enough blocks that a trie has about 256 of n fingerprints."""
+def _blocks(n: int, budget: int) -> tuple[list[int], int]:
+    """(masks of the choices of agreeing blocks, fingerprints of n in an average trie): enough blocks for TRIE."""
     for blocks in range(budget + 1, budget + 5):
         cuts = [64 * i // blocks for i in range(blocks + 1)]
         masks = [((1 << (b - a)) - 1) << a for a, b in zip(cuts, cuts[1:])]
         agree = blocks - budget
-        if n >> (64 * agree // blocks) <= 256 or blocks == budget + 4:
-            return [sum(c) for c in combinations(masks, agree)]
+        mean = n >> (64 * agree // blocks)
+        if mean <= TRIE or blocks == budget + 4:
+            return [sum(c) for c in combinations(masks, agree)], mean
     raise AssertionError
 
 
@@ -139,10 +142,10 @@ def _signed(x: int) -> int:
 
 def links(fps: DataFrame, budget: int = 4) -> DataFrame:
     """Spanning links (u, v) among distinct fingerprints ``fps (fp)`` that differ in at most ``budget`` bits."""
-    masks = _blocks(fps.count(), budget)
+    masks, mean = _blocks(fps.count(), budget)
     which = F.explode(F.arrays_zip(F.array(*map(F.lit, range(len(masks)))).alias("c"), F.array(*[F.lit(_signed(m)) for m in masks]).alias("m")))
     rows = fps.select("fp", which.alias("w")).select("fp", F.col("w.c").alias("c"), F.col("fp").bitwiseAND(F.col("w.m")).alias("key"))
-    crowds = rows.groupBy("c", "key").agg(F.count("*").alias("n")).where(F.col("n") > CROWD)
+    crowds = rows.groupBy("c", "key").agg(F.count("*").alias("n")).where(F.col("n") > max(CROWD, 4 * mean))
     crowds = crowds.select("c", "key", F.ceil(F.sqrt(F.col("n") / 64)).cast("int").alias("k"))
     rows = rows.join(common.written(crowds, "simhash-crowds"), ["c", "key"], "left")
     k = F.coalesce("k", F.lit(1))

@@ -75,7 +75,7 @@ def test_links_equal_brute_force_and_crowds_are_dealt_out(spark, monkeypatch):
 
 def test_more_blocks_for_more_fingerprints():
     for n in (10, 1 << 22, 1 << 40):
-        masks = simhash._blocks(n, 4)
+        masks, _ = simhash._blocks(n, 4)
         rng = random.Random(n)
         for _ in range(500):
             x = 0
