@@ -32,7 +32,7 @@ SEED = 42
 #: Shingles hashed at once, so that a very long text needs no more memory than others.
 CHUNK = 1 << 16
 #: Node pairs walked at once.
-FRONT = 1 << 20
+FRONT = 1 << 17
 #: Fingerprints that a trie has on average, at most; beyond that more blocks are taken.
 TRIE = 1024
 #: A trie of more fingerprints than this (and than four average ones) is dealt out in parts.

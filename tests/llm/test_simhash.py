@@ -52,7 +52,7 @@ def test_fingerprint_equals_brute_force():
 
 def test_trie_equals_brute_force(monkeypatch):
     rng = random.Random(2)
-    for front in (1 << 20, 64):
+    for front in (1 << 17, 64):
         monkeypatch.setattr(simhash, "FRONT", front)
         fp = near(rng, 300)
         arr = np.array(fp, np.uint64)
