@@ -7,7 +7,7 @@ regression over word 1- and 2-grams, fitted on the driver to TRAIN_LINES lines t
 makes of the templates below and of lines about other things. Its temperature is calibrated on
 lines held out. The best family counts if its probability reaches SURE and the paragraph holds
 at least CONFIRM of the words of one of the family's templates; a paragraph that is a licence notice
-by the model but no family's is ``unknown``.
+by the model and its words but no family's is ``unknown``.
 """
 
 from __future__ import annotations
@@ -45,8 +45,11 @@ NONE = [
     "He lost his driving license in {w}.", "The license plate of the {w} was {w}.", "A fishing licence costs {n} euros.", "She studied at MIT and {w}.", "An apache helicopter flew over {w}.",
     "The {w} has permission to {w} the house.", "The warranty of the {w} ended in {n}.", "Civil rights were reserved for {w}.", "The public was free to copy the {w}.", "The {w} of the general public is {w}.",
     "Copyright law was discussed in the {w}.", "The bar lost its licence to sell {w}.", "Poetic license is allowed in {w}.", "The seats are reserved for all {w}.", "He was licensed to teach in {n}.",
+    "{w} mit {w} {w}.", "Mit {w} und {w}.", "{w} der {w} mit dem {w}, {w}.",
 ]
-ANCHOR = r"(?i)licen[sc]|copyright|copyleft|\bgpl|\blgpl|\bagpl|\bmit\b|apache|creative commons|\bcc[ -]?(?:by|0)|public domain|rights reserved|permission|redistribut|proprietary|\bmpl\b|\bspdx"
+ANCHOR = r"\bMIT\b|(?i:licen[sc]|copyright|copyleft|\bgpl|\blgpl|\bagpl|apache|creative commons|\bcc[ -]?(?:by|0)|public domain|rights reserved|permission|redistribut|proprietary|\bmpl\b|\bspdx)"
+#: What a paragraph must hold to be an unknown notice.
+CORE = r"(?i)licen[sc]|copyright|rights reserved|public domain|redistribut"
 WORD = r"[a-z0-9][a-z0-9.+-]*[a-z0-9+]|[a-z0-9]"
 TRAIN_LINES, STEPS, L2 = 2400, 300, 1e-4
 SURE, CONFIRM = 0.7, 0.6
@@ -173,6 +176,7 @@ def scan(docs: DataFrame, sure: float = SURE, confirm: float = CONFIRM) -> DataF
         shares = F.when(F.col("best") == family, share(family)).otherwise(shares)
     lines = lines.withColumn("template_share", shares)
     sure_ = (F.col("probability") >= sure) & (F.col("template_share") >= confirm)
+    lines = lines.where(sure_ | F.col("notice").rlike(CORE))
     return lines.select("doc_id", "paragraph", F.when(sure_, F.col("best")).otherwise(UNKNOWN).alias("license"), "probability", "template_share", "notice")
 
 
