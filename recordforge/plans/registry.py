@@ -25,7 +25,7 @@ def query(name: str, sql: str | None = None):
 
 def load() -> None:
     """Import the modules that register queries."""
-    from . import evidence, fields, healing, merging, records, review  # noqa: F401
+    from . import edits, evidence, fields, healing, merging, records, review  # noqa: F401
 
 
 load()
