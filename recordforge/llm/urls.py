@@ -76,9 +76,12 @@ def templates(urls: DataFrame) -> DataFrame:
         child = t.where(F.col(name) != "").groupBy(*node, name).agg(F.sum("n").alias("c"))
         wide = child.groupBy(*node).agg(F.count("*").alias("kinds"), F.sum("c").alias("whole")).where(F.col("kinds") > FANOUT)
         light = child.join(wide, node).where(F.col("c") < F.col("whole") * SHARE).select(*node, name, F.lit(True).alias("light"))
-        t = t.join(light, [*node, name], "left").withColumn(name, F.when(F.col("light"), "*").otherwise(F.col(name))).drop("light")
-    t = common.written(t, "url-general")
+        light = common.written(light, "url-light")
+        if not light.isEmpty():
+            t = t.join(light, [*node, name], "left").withColumn(name, F.when(F.col("light"), "*").otherwise(F.col(name))).drop("light")
+            t = common.written(t, "url-general")
     tree = t.groupBy("host", *names).agg(F.sum("labelled").alias("labelled"), F.sum("bad").alias("bad")).withColumns({f"m{i}": F.col(n) for i, n in enumerate(names, 1)})
+    tree = common.written(tree, "url-tree")
     merged = [f"m{i}" for i in range(1, DEPTH + 1)]
     for name in reversed(merged):
         rest = ["host", *[m for m in merged if m != name]]
@@ -88,9 +91,10 @@ def templates(urls: DataFrame) -> DataFrame:
         p = (F.col("ab") + 1.0) / (F.col("al") + 2.0)
         gap = F.abs((F.col("b") + p) / (F.col("l") + 1.0) - (F.col("ob") + p) / (F.col("ol") + 1.0))
         like = gap <= Z * F.sqrt(p * (1.0 - p) * (1.0 / (F.col("l") + 1.0) + 1.0 / (F.col("ol") + 1.0)))
-        pair = pair.where(like).select(*rest, name, F.lit(True).alias("like"))
-        tree = tree.join(pair, [*rest, name], "left").withColumn(name, F.when(F.col("like"), "+").otherwise(F.col(name))).drop("like")
-    tree = common.written(tree, "url-tree")
+        pair = common.written(pair.where(like).select(*rest, name, F.lit(True).alias("like")), "url-like")
+        if not pair.isEmpty():
+            tree = tree.join(pair, [*rest, name], "left").withColumn(name, F.when(F.col("like"), "+").otherwise(F.col(name))).drop("like")
+            tree = common.written(tree, "url-tree")
     total = tree.agg(((F.sum("bad") + 1.0) / (F.sum("labelled") + 2.0)).alias("everywhere"))
     hosts = tree.groupBy("host").agg(F.sum("labelled").alias("hl"), F.sum("bad").alias("hb"))
     hosts = hosts.crossJoin(F.broadcast(total)).select("host", ((F.col("hb") + PRIOR * F.col("everywhere")) / (F.col("hl") + PRIOR)).alias("prior"))
