@@ -166,17 +166,17 @@ def train(labelled: DataFrame) -> BiGru | None:
     """Fit a network to ``labelled (doc_id, text, lang)``, rows without text or lang left out; None if none is left.
 
     The sample is bounded: the MAX_LANGS most frequent languages, SAMPLE_DOCS documents of each
-    (those with the smallest hashes of their id and length), none of more than SAMPLE_BYTES bytes.
+    (those with the smallest hashes of their id and text, repeated rows once), none of more than SAMPLE_BYTES bytes.
     """
     some = labelled.where("lang is not null and text is not null").select("doc_id", "text", "lang")
     some = some.where(F.octet_length("text") <= SAMPLE_BYTES)
-    some = some.withColumn("h", F.xxhash64(F.col("doc_id").cast("string"), F.octet_length("text")))
+    some = some.withColumn("h", F.xxhash64(F.col("doc_id").cast("string"), F.col("text")))
     counts = some.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGS).collect()
     langs = sorted(r["lang"] for r in counts)
     if not langs:
         return None
     place = Window.partitionBy("lang").orderBy("h")
-    picked = some.select("lang", "h").where(F.col("lang").isin(langs)).withColumn("r", F.row_number().over(place)).where(F.col("r") <= SAMPLE_DOCS)
+    picked = some.select("lang", "h").where(F.col("lang").isin(langs)).distinct().withColumn("r", F.row_number().over(place)).where(F.col("r") <= SAMPLE_DOCS)
     cuts = {r["lang"]: r["top"] for r in picked.groupBy("lang").agg(F.max("h").alias("top")).collect()}
     ask = [(F.col("lang") == k) & (F.col("h") <= top) for k, top in cuts.items()]
     anyone = ask[0]
@@ -184,8 +184,7 @@ def train(labelled: DataFrame) -> BiGru | None:
         anyone = anyone | a
     by_lang: dict[str, list[bytes]] = {k: [] for k in langs}
     docs: dict[str, int] = dict.fromkeys(langs, 0)
-    # ties of a hash at the cut are few; the sample stays bounded all the same
-    for r in some.where(anyone).select("lang", "text", "h").orderBy("lang", "h", "text").limit(2 * SAMPLE_DOCS * len(langs)).collect():
+    for r in some.where(anyone).select("lang", "h", "text").dropDuplicates(["lang", "h"]).orderBy("lang", "h").collect():
         if docs[r["lang"]] < SAMPLE_DOCS and has_letter(r["text"]):
             docs[r["lang"]] += 1
             by_lang[r["lang"]] += pieces(r["text"])
