@@ -27,8 +27,8 @@ def strip(c: Column) -> Column:
 
 
 def blank(c: Column | str) -> Column:
-    """Null, empty and white space are all blank."""
-    return strip(text(c)) == ""
+    """Null, empty and white space are all blank: no character of another kind is found."""
+    return ~text(c).rlike("[^" + _RUN[1:-2] + "]")
 
 
 def norm(c: Column) -> Column:
@@ -46,7 +46,8 @@ def overlap(candidate: Column, page: Column) -> Column:
 
     Both sides are token arrays. Asymmetric: what counts is how much of the candidate is covered.
     """
-    n = lambda a, t: F.size(F.filter(a, lambda x: x == t))
+    # counted by a built-in that needs no lambda for each element
+    n = lambda a, t: F.size(a) - F.size(F.array_remove(a, t))
 
     def of(b: Column) -> Column:
         common = F.aggregate(F.array_intersect(b["c"], b["p"]), F.lit(0), lambda acc, t: acc + F.least(n(b["c"], t), n(b["p"], t)))
@@ -66,19 +67,24 @@ def coherence(stem: Column, payload: Column) -> Column:
 def contamination(stem: Column, solution: Column) -> Column:
     """Why a stem is really solution prose: ``opener``, ``verbatim``, ``contained``, or null."""
 
+    def by_tokens(t: Column, s: Column) -> Column:
+        contained = lambda w: (
+            F.when(overlap(w["a"], w["b"]) < P.CONTAMINATION_SHARE, None)
+            .when(overlap(w["b"], w["a"]) >= P.CONTAMINATION_SHARE, "verbatim")
+            .when((F.char_length(t) > P.MAX_REAL_STEM_LEN) | ~t.rlike(P.QUESTION_SHAPED), "contained")
+        )
+        return let(F.struct(tokens(t).alias("a"), tokens(s).alias("b")), contained)
+
     def judge(x: Column) -> Column:
-        t, s, a, b = x["t"], x["s"], x["a"], x["b"]
+        short = (x["s"] == "") | (F.char_length(x["t"]) < P.CONTAMINATION_MIN_LEN)
         return (
-            F.when(t == "", None)
-            .when(t.rlike(P.EXPLANATION_START), "opener")
-            .when((s == "") | (F.char_length(t) < P.CONTAMINATION_MIN_LEN), None)
-            .when(overlap(a, b) < P.CONTAMINATION_SHARE, None)
-            .when(overlap(b, a) >= P.CONTAMINATION_SHARE, "verbatim")
-            .when((F.char_length(t) > P.MAX_REAL_STEM_LEN) | ~t.rlike(P.QUESTION_SHAPED), "contained")
+            F.when(x["t"] == "", None)
+            .when(x["t"].rlike(P.EXPLANATION_START), "opener")
+            .when(short, None)
+            .otherwise(by_tokens(x["t"], x["s"]))
         )
 
-    t, s = strip(text(stem)), strip(text(solution))
-    return let(F.struct(t.alias("t"), s.alias("s"), tokens(stem).alias("a"), tokens(solution).alias("b")), judge)
+    return let(F.struct(strip(text(stem)).alias("t"), strip(text(solution)).alias("s")), judge)
 
 
 def lines(c: Column) -> Column:
