@@ -9,6 +9,7 @@ from . import patterns as P
 
 #: White space as Python's str.strip sees it.
 _STRIP = r"^[\s\x{85}\x{A0}\x{1c}-\x{1f}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+|[\s\x{85}\x{A0}\x{1c}-\x{1f}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+$"
+_CHARS = " \t\n\x0b\x0c\r\x85\xa0\x1c\x1d\x1e\x1f\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000"
 _RUN = r"[\s\x{85}\x{A0}\x{1c}-\x{1f}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+"
 
 
@@ -23,7 +24,12 @@ def text(c: Column | str) -> Column:
 
 
 def strip(c: Column) -> Column:
-    return F.regexp_replace(c, _STRIP, "")
+    """Without white space at either end; only the ends are read."""
+    return F.trim(c, F.lit(_CHARS))
+
+
+def rstrip(c: Column) -> Column:
+    return F.rtrim(c, F.lit(_CHARS))
 
 
 def blank(c: Column | str) -> Column:
@@ -120,7 +126,7 @@ def shingles(c: Column, n: int) -> Column:
 def truncation(solution: Column, has_table: Column, has_image: Column) -> Column:
     """``truncated_solution``, ``short_bare_solution`` or null: the validator's view of an ending."""
     raw = text(solution)
-    s = F.regexp_replace(raw, _RUN + "$", "")
+    s = rstrip(raw)
     explained = s.endswith(":") & (has_table | has_image)
     ended = F.instr(F.lit(P.TERMINAL), F.right(s, F.lit(1))) > 0
     return (

@@ -1,0 +1,3 @@
+"""Queries of the record engine; importing the package registers them all."""
+
+from . import edits, evidence, fields, healing, merging, records, review  # noqa: F401

@@ -21,11 +21,3 @@ def query(name: str, sql: str | None = None):
         return fn
 
     return put
-
-
-def load() -> None:
-    """Import the modules that register queries."""
-    from . import edits, evidence, fields, healing, merging, records, review  # noqa: F401
-
-
-load()
