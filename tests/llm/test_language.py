@@ -105,3 +105,12 @@ def test_no_rows_and_no_labels(spark, rows, tmp_path):
     assert la.op3_language(spark, f"{tmp_path}/a").collect() == []
     frame(spark, rows).withColumn("lang", F.lit(None).cast("string")).write.parquet(f"{tmp_path}/b/documents.parquet")
     assert {r.lang_pred for r in la.op3_language(spark, f"{tmp_path}/b").collect()} == {"und"}
+
+
+def test_repeated_rows_fill_one_place_of_the_sample(spark, rows, monkeypatch):
+    monkeypatch.setattr(la, "SAMPLE_DOCS", 3)
+    seen = {}
+    monkeypatch.setattr(la.BiGru, "fit", lambda self, by_lang: seen.update(zip(self.langs, map(len, by_lang))) or self)
+    many = [(None, "bado kilum", "aa")] * 300 + [r for r in rows if r[2]]
+    net = la.train(frame(spark, many))
+    assert net.langs == ["aa", "bb", "cc"] and all(seen.values())
