@@ -1,0 +1,237 @@
+"""Near-duplicates by exact Jaccard similarity of word shingles: a prefix-filtered self-join.
+
+Two sets of n and m shingles with a similarity of 4/5 or more share at least 4(n + m)/9. In any
+order of all shingles, the first that they share then stands among the first n - 4(n + m)/9 + 1 of
+the one and likewise of the other. So the first fifth of each set, rarest shingles first, is dealt
+out by shingle; sets that meet are candidates, and every candidate is confirmed by its whole sets. No pair
+is missed and none is linked by chance but by equal 64-bit hashes. The order only has to be the same
+for all sets; which shingles are common is therefore counted roughly.
+
+Equal sets are merged before anything else. Where very many sets meet in a shingle, they are first compared with
+a few of them; then only pairs that are not linked yet, through others, are compared.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+
+import numpy as np
+import pandas as pd
+import pyarrow as pa
+import xxhash
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from . import common, simhash
+
+#: Shingles counted at once for the order, the least count that is noted, and shingles noted at most.
+COUNTED, NOTED, COMMON = 1 << 20, 4, 1 << 16
+#: Sets that meet in one shingle and are compared in full at once; in a larger crowd PIVOTS of them come first.
+CROWD, PIVOTS = 64, 8
+#: Pairs of rows compared at once.
+FRONT = 1 << 20
+
+
+def shingle_set(text: str | None, words: int = 5) -> np.ndarray:
+    """Sorted distinct hashes of the shingles that a SimHash of the text counts; none without words."""
+    parts = (text or "").encode().lower().split()
+    if not parts:
+        return np.empty(0, np.uint64)
+    joined = b" ".join(parts)
+    ends = np.cumsum([len(p) + 1 for p in parts])
+    starts = (ends - [len(p) + 1 for p in parts]).tolist()
+    stops = (ends - 1).tolist()[min(words, len(parts)) - 1 :]
+    digest = xxhash.xxh64_intdigest
+    return np.unique(np.fromiter((digest(joined[s:e], simhash.SEED) for s, e in zip(starts, stops)), np.uint64, len(stops)))
+
+
+def similar(a: np.ndarray, b: np.ndarray) -> bool:
+    """Whether the Jaccard similarity of two sorted sets is 4/5 or more."""
+    at = np.minimum(np.searchsorted(b, a), len(b) - 1)
+    both = int((b[at] == a).sum())
+    return 9 * both >= 4 * (len(a) + len(b))
+
+
+def _sets(keyed: DataFrame, words: int) -> DataFrame:
+    """doc_id, _h, sid (names equal sets), and the common shingles of some rows' neighbourhood with counts."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[np.ndarray] = []
+        size = 0
+
+        def count() -> list[dict]:
+            s, k = np.unique(np.concatenate(held), return_counts=True) if held else (np.empty(0, np.uint64), np.empty(0, int))
+            held.clear()
+            return [{"s": int(x), "k": int(n)} for x, n in zip(s[k >= NOTED].view(np.int64), k[k >= NOTED])]
+
+        for b in batches:
+            sid, heavy = [], []
+            texts = b.column("text")
+            for i in range(len(b)):
+                s = shingle_set(texts[i].as_py(), words)
+                sid.append(xxhash.xxh3_64_intdigest(s.tobytes()))
+                held.append(s)
+                size += len(s)
+                full = size >= COUNTED or i == len(b) - 1
+                heavy.append(count() if full else None)
+                size = 0 if full else size
+            kind = pa.list_(pa.struct([("s", pa.int64()), ("k", pa.int64())]))
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("_h"), pa.array(np.array(sid, np.uint64).view(np.int64)), pa.array(heavy, kind)], names=["doc_id", "_h", "sid", "heavy"])
+
+    heavy = T.ArrayType(T.StructType([T.StructField("s", T.LongType()), T.StructField("k", T.LongType())]))
+    schema = T.StructType([*keyed.select("doc_id", "_h").schema.fields, T.StructField("sid", T.LongType()), T.StructField("heavy", heavy)])
+    return common.map_in_arrow(keyed.select("doc_id", "_h", "text"), run, schema)
+
+
+def _of(keyed: DataFrame, reps: DataFrame) -> DataFrame:
+    """sid and text of one document of each set in ``reps (sid, d, h)``."""
+    return keyed.join(reps, keyed.doc_id.eqNullSafe(reps.d) & (keyed["_h"] == reps.h)).select("sid", "text")
+
+
+def _prefixes(texts: DataFrame, words: int, s: np.ndarray, k: np.ndarray) -> DataFrame:
+    """``texts (sid, text)`` to key, sid, n, pos: the first fifth of each set. s, k: common shingles, sorted, and their counts."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            texts, sids = b.column("text"), b.column("sid").to_numpy()
+            for lo in range(0, len(b), 512):
+                out = []
+                for i in range(lo, min(lo + 512, len(b))):
+                    x = shingle_set(texts[i].as_py(), words)
+                    n = len(x)
+                    if not n:
+                        continue
+                    if len(s):
+                        at = np.minimum(np.searchsorted(s, x), len(s) - 1)
+                        x = x[np.argsort(np.where(s[at] == x, k[at], 0), kind="stable")]
+                    p = n - (4 * n + 4) // 5 + 1
+                    out.append((x[:p].view(np.int64), np.full(p, sids[i]), np.full(p, n, np.int32), np.arange(p, dtype=np.int32)))
+                if out:
+                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*out)], names=["key", "sid", "n", "pos"])
+
+    return common.map_in_arrow(texts, run, "key long, sid long, n int, pos int")
+
+
+def _met(rows: DataFrame, rest: bool) -> DataFrame:
+    """Distinct pairs (a, b) of sets that meet in ``rows (key, sid, n, pos, part)`` early enough, in different parts.
+
+    Without ``rest`` large crowds give pairs with their pivots only.
+    """
+
+    def pairs(d: pd.DataFrame) -> pd.DataFrame:
+        key, sid, n, pos, part = (d[c].to_numpy() for c in ("key", "sid", "n", "pos", "part"))
+        n, pos = n.astype(np.int64), pos.astype(np.int64)
+        head = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+        size = np.diff(np.append(head, len(key)))
+        first, many = np.repeat(head, size), np.repeat(size, size)
+        at = np.arange(len(key))
+        # rows are by size: a row meets those after it, as far as sizes allow
+        crowd = np.repeat(np.arange(len(head)), size) << 32
+        far = np.searchsorted(crowd + n, crowd + 5 * n // 4, "right")
+        mine = far - at - 1
+        if not rest:
+            step = -(-many // PIVOTS)
+            pivot = (at - first) % step == 0
+            mine = np.where((many > CROWD) & ~pivot, 0, mine)
+        found = []
+
+        def test(u: np.ndarray, v: np.ndarray) -> None:
+            need = -(-4 * (n[u] + n[v]) // 9)
+            ok = (pos[u] <= n[u] - need) & (pos[v] <= n[v] - need) & (part[u] != part[v])
+            u, v = sid[u[ok]], sid[v[ok]]
+            found.append(np.unique(np.stack([np.minimum(u, v), np.maximum(u, v)], axis=1), axis=0))
+
+        total = np.cumsum(mine)
+        lo = 0
+        while lo < len(key):
+            hi = max(lo + 1, int(np.searchsorted(total, (total[lo - 1] if lo else 0) + FRONT, "right")))
+            m = mine[lo:hi]
+            u = np.repeat(at[lo:hi], m)
+            v = u + 1 + np.arange(len(u)) - np.repeat(np.cumsum(m) - m, m)
+            test(u, v)
+            lo = hi
+        if not rest:  # and pivots meet those before them
+            big = np.flatnonzero((many > CROWD) & ~pivot)
+            for back in range(PIVOTS):
+                v = first[big] + back * step[big]
+                ok = (v > big) & (v < far[big])
+                test(big[ok], v[ok])
+        both = np.unique(np.concatenate(found), axis=0) if found else np.empty((0, 2), np.int64)
+        return pd.DataFrame({"a": both[:, 0], "b": both[:, 1]})
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held: list[pd.DataFrame] = []
+        count = 0
+        for b in batches:
+            held.append(b)
+            count += len(b)
+            if count >= 1 << 16:  # whole crowds only; the last one may go on in the next batch
+                whole = pd.concat(held)
+                last = int(np.flatnonzero(whole["key"].to_numpy() != whole["key"].iloc[-1])[-1:].sum() + 1) if whole["key"].iloc[0] != whole["key"].iloc[-1] else 0
+                if last:
+                    yield pairs(whole.iloc[:last])
+                held = [whole.iloc[last:]]
+                count = len(held[0])
+        if count:
+            yield pairs(pd.concat(held))
+
+    dealt = rows.repartition("key").sortWithinPartitions("key", "n", "sid")
+    return common.map_in_pandas(dealt, run, "a long, b long").distinct()
+
+
+def _confirmed(keyed: DataFrame, reps: DataFrame, pairs: DataFrame, words: int) -> DataFrame:
+    """The ``pairs (a, b)`` whose sets are similar, as (u, v)."""
+    ends = pairs.select(F.col("a").alias("sid")).union(pairs.select(F.col("b").alias("sid"))).distinct()
+
+    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for lo in range(0, len(b), 512):
+                part = b.slice(lo, 512)
+                yield pa.RecordBatch.from_arrays([part.column("sid"), pa.array([shingle_set(t.as_py(), words).tobytes() for t in part.column("text")], pa.binary())], names=["sid", "set"])
+
+    of = common.map_in_arrow(_of(keyed, reps.join(ends, "sid")), sets, "sid long, set binary").dropDuplicates(["sid"])
+    of = common.written(of, "jaccard-sets")
+    sides = pairs.join(of.select(F.col("sid").alias("a"), F.col("set").alias("x")), "a").join(of.select(F.col("sid").alias("b"), F.col("set").alias("y")), "b")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            x, y = b.column("x"), b.column("y")
+            ok = pa.array([similar(*(np.frombuffer(c[i].as_buffer(), np.uint64) for c in (x, y))) for i in range(len(b))], pa.bool_())
+            yield b.select(["a", "b"]).filter(ok).rename_columns(["u", "v"])
+
+    return common.map_in_arrow(sides.select("a", "b", "x", "y"), run, "u long, v long")
+
+
+def near_groups(keyed: DataFrame, words: int = 5) -> DataFrame:
+    """``keyed (doc_id, _h, text)`` to doc_id, _h, part: documents linked by similarities of 4/5 or more share a part.
+
+    Documents without words are alike. _h tells texts of one doc_id apart.
+    """
+    docs = common.written(_sets(keyed, words), "jaccard-docs")
+    heavy = docs.select(F.explode("heavy").alias("e")).groupBy("e.s").agg(F.sum("e.k").alias("k"))
+    heavy = heavy.orderBy(F.desc("k"), "s").limit(COMMON).toPandas()
+    s, k = heavy["s"].to_numpy(np.int64).view(np.uint64), heavy["k"].to_numpy(np.int64)
+    by = np.argsort(s)
+    reps = docs.groupBy("sid").agg(F.min(F.struct("doc_id", "_h")).alias("r")).select("sid", F.col("r.doc_id").alias("d"), F.col("r._h").alias("h"))
+    reps = common.written(reps, "jaccard-reps")
+    rows = _prefixes(_of(keyed, reps), words, s[by], k[by])
+    rows = common.written(rows.groupBy("key", "sid").agg(F.first("n").alias("n"), F.first("pos").alias("pos")), "jaccard-prefixes")
+    pairs = common.written(_met(rows.withColumn("part", F.col("sid")), False), "jaccard-pairs")
+    edges = common.written(_confirmed(keyed, reps, pairs, words), "jaccard-edges")
+    parts = common.components(edges)
+    crowds = rows.groupBy("key").agg(F.count("*").alias("m")).where(F.col("m") > CROWD).select("key")
+    crowded = rows.join(crowds, "key").join(parts.withColumnRenamed("node", "sid"), "sid", "left")
+    crowded = crowded.select("key", "sid", "n", "pos", F.coalesce("component", "sid").alias("part"))
+    more = common.written(_met(crowded, True).join(pairs, ["a", "b"], "left_anti"), "jaccard-pairs")
+    if more.limit(1).count():
+        found = common.written(_confirmed(keyed, reps, more, words), "jaccard-edges")
+        parts = common.components(edges.union(found))
+    named = docs.select("doc_id", "_h", "sid").join(parts.withColumnRenamed("node", "sid"), "sid", "left")
+    return named.select("doc_id", "_h", F.coalesce("component", "sid").alias("part"))
+
+
+def first_of_groups(docs: DataFrame, words: int = 5) -> DataFrame:
+    """``docs (doc_id, text, ...)`` with one row of each near-duplicate group, chosen as ``simhash.first_of_groups`` does."""
+    keyed = simhash.with_hash(docs)
+    return simhash.keep_first(keyed, near_groups(keyed, words)).select(*docs.columns)

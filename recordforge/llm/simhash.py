@@ -216,21 +216,30 @@ def near_groups(docs: DataFrame, words: int = 5, budget: int = 4, keys: tuple[st
     return docs.join(named, "fp").select(*keys, "fp", "part", "component_id")
 
 
-def first_of_groups(docs: DataFrame, words: int = 5, budget: int = 4) -> DataFrame:
-    """``docs (doc_id, text, ...)`` with one row of each near-duplicate group: the smallest doc_id's.
+def with_hash(docs: DataFrame) -> DataFrame:
+    """``docs`` with _h, which tells texts of one doc_id apart."""
+    return docs.withColumn("_h", F.xxhash64(F.coalesce("text", F.lit("")), F.col("text").isNull()))
 
-    All columns are kept. Among rows of that id the one with the smallest hash of its text stays; of
-    repeated rows one. A null id stays only where a group has no other.
-    """
-    keyed = docs.withColumn("_h", F.xxhash64(F.coalesce("text", F.lit("")), F.col("text").isNull()))
-    groups = near_groups(keyed, words, budget, ("doc_id", "_h"))
+
+def keep_first(keyed: DataFrame, groups: DataFrame) -> DataFrame:
+    """The rows of ``keyed`` that stand for the parts of ``groups (doc_id, _h, part)``."""
     best = groups.groupBy("part").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_h")).alias("b")).select("b.doc_id", "b._h")
     times = groups.groupBy("doc_id", "_h").agg(F.count("*").alias("n"))
     best = best.join(times.withColumnsRenamed({"doc_id": "d", "_h": "h"}), F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("_h") == F.col("h"))).drop("doc_id", "_h")
     kept = keyed.join(best, keyed.doc_id.eqNullSafe(best.d) & (keyed["_h"] == best.h)).drop("d", "h")
     alone = kept.where("n = 1")
     repeated = kept.where("n > 1").dropDuplicates(["doc_id", "_h"])
-    return alone.unionByName(repeated).select(*docs.columns)
+    return alone.unionByName(repeated)
+
+
+def first_of_groups(docs: DataFrame, words: int = 5, budget: int = 4) -> DataFrame:
+    """``docs (doc_id, text, ...)`` with one row of each near-duplicate group: the smallest doc_id's.
+
+    All columns are kept. Among rows of that id the one with the smallest hash of its text stays; of
+    repeated rows one. A null id stays only where a group has no other.
+    """
+    keyed = with_hash(docs)
+    return keep_first(keyed, near_groups(keyed, words, budget, ("doc_id", "_h"))).select(*docs.columns)
 
 
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

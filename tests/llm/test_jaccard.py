@@ -1,0 +1,78 @@
+import random
+from collections import defaultdict
+
+import pytest
+
+from recordforge.llm import jaccard, simhash
+
+
+def shingles(text):
+    w = (text or "").lower().split()
+    return {tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if w else set()
+
+
+def brute(texts):
+    """Smallest index of each text's group, by all pairs."""
+    sets, part = [shingles(t) for t in texts], list(range(len(texts)))
+
+    def find(x):
+        while part[x] != x:
+            x = part[x]
+        return x
+
+    for i, a in enumerate(sets):
+        for j, b in enumerate(sets[:i]):
+            if a == b or len(a & b) * 5 >= len(a | b) * 4:
+                u, v = find(i), find(j)
+                part[max(u, v)] = min(u, v)
+    return [find(i) for i in range(len(texts))]
+
+
+def corpus():
+    rng = random.Random(5)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(4))
+    line = " ".join(word() for _ in range(30))
+    out = [None, "", "one", "One", "one two three", line]
+    for _ in range(12):
+        base = [word() for _ in range(rng.choice([8, 30, 120, 400]))]
+        for _ in range(14):
+            new = list(base)
+            for _ in range(rng.randrange(1 + len(base) // 30)):
+                new[rng.randrange(len(new))] = word()
+            out.append(" ".join(new) + (" " + line if rng.random() < 0.3 else ""))
+    return out + out[20:30]
+
+
+@pytest.mark.parametrize("crowd", [64, 4])
+def test_groups_equal_all_pairs(spark, monkeypatch, crowd):
+    monkeypatch.setattr(jaccard, "CROWD", crowd)
+    monkeypatch.setattr(jaccard, "PIVOTS", 2)
+    texts = corpus()
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    groups = defaultdict(set)
+    for r in jaccard.near_groups(simhash.with_hash(df)).collect():
+        groups[r.part].add(r.doc_id)
+    want = defaultdict(set)
+    for i, p in enumerate(brute(texts)):
+        want[p].add(i)
+    assert sorted(map(sorted, groups.values())) == sorted(map(sorted, want.values()))
+    assert sorted(r.doc_id for r in jaccard.first_of_groups(df).collect()) == sorted(want)
+
+
+def test_pipeline_stage_drops_copies_beyond_six_bits(spark):
+    import corpus_pipeline as cp
+
+    rng = random.Random(8)
+    base = [f"w{rng.randrange(10**6)}" for _ in range(300)]
+    for seed in range(100):
+        new, r = list(base), random.Random(seed)
+        for _ in range(6):
+            new[r.randrange(300)] = f"x{r.randrange(10**6)}"
+        a, b = " ".join(base), " ".join(new)
+        far = (simhash.text_fingerprint(a, 5) ^ simhash.text_fingerprint(b, 5)).bit_count() > cp.BUDGET
+        if far and len(shingles(a) & shingles(b)) * 5 >= len(shingles(a) | shingles(b)) * 4:
+            break
+    else:
+        raise AssertionError
+    df = spark.createDataFrame([(1, a, "aa", "s", len(a)), (2, b, "aa", "s", len(b))], "doc_id long, text string, lang string, source string, n_chars long")
+    assert [r.doc_id for r in cp.drop_near_duplicates(spark, df, "").collect()] == [1]
