@@ -77,10 +77,10 @@ def _passes(kind: str, m: Column) -> Column:
     return n.between(8, 15) if kind == "phone" else F.lit(True)
 
 
-def _prefilter(kind: str, text: Column) -> Column:
-    """True wherever a pattern of the kind can match: a cheap test that spares other texts the search."""
+def _prefilter(kind: str, text: Column, wide: bool = True) -> Column:
+    """True wherever the base pattern of the kind, or the ``wide`` one, can match: a cheap test that spares other texts the search."""
     if kind == "email":
-        return text.contains("@") | text.rlike(r"at[)\]]|\x20dot\x20")
+        return text.contains("@") | text.rlike(r"[(\[]at[)\]]|\x20at\x20") if wide else text.contains("@")
     return text.contains(":") | text.rlike("[0-9]") if kind == "ip" else text.rlike("[0-9]")
 
 
@@ -305,7 +305,7 @@ def spans(docs: DataFrame, select: float = SELECT) -> DataFrame:
     out = docs
 
     def based(k: str) -> Column:
-        return F.transform(F.filter(matches(text, BASE[k], _prefilter(k, text)), lambda c: _passes(k, c["m"])), short)
+        return F.transform(F.filter(matches(text, BASE[k], _prefilter(k, text, wide=False)), lambda c: _passes(k, c["m"])), short)
 
     def scored(k: str) -> Column:
         return F.transform(f"_wide_{k}", lambda c: F.struct(trees[k].column(c["f"]).alias("p"), c["start"].alias("start"), c["end"].alias("end"), F.lit(k).alias("kind")))

@@ -104,3 +104,12 @@ def test_query(spark, tmp_path):
     assert sorted(map(str, (tuple(r)[:-1] for r in got))) == sorted(map(str, want))
     spark.createDataFrame([], "doc_id long, text string").write.parquet(f"{tmp_path}/b/documents.parquet")
     assert pii.op6_pii(spark, f"{tmp_path}/b").collect() == []
+
+
+def test_every_written_out_email_is_a_candidate(spark):
+    forms = [f"john{a}example{d}com" for a in (" (at) ", "[at]", " at ", "(at)", "@") for d in (" (dot) ", "[dot]", " dot ", ".")]
+    lines = [t for k, t in pii.labelled_lines(seed=31, n=600) if k == "email"]
+    df = spark.createDataFrame([(f"write to {x} now",) for x in forms] + [(t,) for t in lines], "text string")
+    assert [r.text for r in df.where(F.size(pii.candidates("email", F.col("text"))) == 0).collect()] == []
+    found = pii.spans(df.limit(len(forms))).select("text", "found").collect()
+    assert {r.text for r in found if not any(s.kind == "email" for s in r.found)} == set()
