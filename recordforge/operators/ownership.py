@@ -52,6 +52,23 @@ def in_range(points: DataFrame, ranges: DataFrame, at: str, start: str, end: str
     return p.join(r, "_cell").where(F.col(at).between(F.col(start), F.col(end))).drop("_cell")
 
 
+def first_in_range(points: DataFrame, ranges: DataFrame, at: str, start: str, end: str, name: str) -> DataFrame:
+    """Distinct points that any range holds, with the smallest ``name`` of those ranges. Points and bounds are whole numbers.
+
+    A range is cut into aligned runs of 1, 2, 4, ... numbers, at most two of a length; a point lies in one run of each
+    length. So wide and many ranges cost rows by the logarithm of their width, not by their cells.
+    """
+    lo, hi = F.col(start).cast("long"), F.col(end).cast("long")
+    level = F.explode(F.sequence(F.lit(0), F.lit(62)))
+    r = ranges.where((lo <= hi) & F.col(name).isNotNull()).select(name, lo.alias("_lo"), (hi + 1).alias("_hi"), level.alias("_level"))
+    left, right = F.expr("-shiftright(-_lo, _level)"), F.expr("shiftright(_hi, _level)")
+    r = r.select(name, "_level", left.alias("_l"), right.alias("_r")).where("_l < _r")
+    run = F.filter(F.array(F.when(F.expr("_l & 1") == 1, F.col("_l")), F.when(F.expr("_r & 1") == 1, F.col("_r") - 1)), lambda x: x.isNotNull())
+    runs = r.select(name, "_level", F.explode(run).alias("_run")).groupBy("_level", "_run").agg(F.min(name).alias(name))
+    p = points.where(F.col(at).isNotNull()).select(at).distinct().withColumn("_level", level).withColumn("_run", F.expr(f"shiftright(cast({at} as bigint), _level)"))
+    return p.join(runs, ["_level", "_run"]).groupBy(at).agg(F.min(name).alias(name))
+
+
 def toc_run(rows: DataFrame) -> DataFrame:
     """``rows (book, pos, no, page)``: the run that begins at 1 and goes on by one, pages never falling; others are skipped.
 

@@ -101,3 +101,11 @@ def chapter_for_page(spark, d):
     r = table(spark, d, "orders").where("o_custkey <= 40").groupBy(F.col("o_custkey").alias("chapter")).agg(F.min("o_orderkey").alias("lo"), F.max("o_orderkey").alias("hi"))
     p = table(spark, d, "part").select(F.col("p_partkey").alias("page"))
     return O.in_range(p, r, "page", "lo", "hi", 512).groupBy("page").agg(F.min("chapter").alias("chapter"))
+
+
+@query("chapter_for_every_page")
+def chapter_for_every_page(spark, d):
+    """The first of all chapters whose own pages span a page."""
+    r = table(spark, d, "orders").groupBy(F.col("o_custkey").alias("chapter")).agg(F.min("o_orderkey").alias("lo"), F.max("o_orderkey").alias("hi"))
+    p = table(spark, d, "part").select(F.col("p_partkey").alias("page"))
+    return O.first_in_range(p, r, "page", "lo", "hi", "chapter")
