@@ -54,7 +54,7 @@ def test_language_stage_keeps_texts_with_letters(stages):
 
 def test_near_duplicates_equal_brute_force(stages):
     _, (first, second, *_) = stages
-    fp = [simhash.text_fingerprint(r.text, 5) for r in first]
+    sets = [simhash.shingle_set(r.text, 5) for r in first]
     part = list(range(len(first)))
 
     def find(x):
@@ -62,9 +62,9 @@ def test_near_duplicates_equal_brute_force(stages):
             x = part[x]
         return x
 
-    for i in range(len(fp)):
+    for i in range(len(sets)):
         for j in range(i):
-            if (fp[i] ^ fp[j]).bit_count() <= cp.BUDGET:
+            if simhash.similar(sets[i], sets[j]):
                 part[find(i)] = find(j)
     groups = defaultdict(list)
     for i, r in enumerate(first):
