@@ -10,13 +10,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from recordforge.llm import common, jaccard, language, mixing, pii, sentencepieces
+from recordforge.llm import common, language, mixing, pii, sentencepieces, simhash
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 #: A document is rejected if no language reaches this share of its positions.
 LEAST_SCORE = 0.3
-#: Bits in which SimHashes of near copies with few edits differ; the stage confirms by exact similarity instead.
-BUDGET = 6
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -28,8 +26,11 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep one document of each group of near duplicates (five-word Jaccard 0.8 or more): the smallest doc_id."""
-    return jaccard.first_of_groups(docs.select(*COLUMNS), words=5)
+    """Keep one document of each group of near duplicates (similarity of five-word shingles 0.8 or more): the smallest doc_id.
+
+    Wide SimHashes meet in tries; links are confirmed by the whole shingle sets.
+    """
+    return simhash.first_of_groups(docs.select(*COLUMNS), words=5)
 
 
 def redact_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
