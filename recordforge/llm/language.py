@@ -1,12 +1,13 @@
 """Language identification: a bidirectional gated recurrent network over bytes.
 
-Two gated recurrent layers read the lower-cased UTF-8 bytes of a piece of text (a word, or
-PIECE bytes of a longer one) from both ends and label every position with a
-distribution over languages. A document's distribution is the mean over all its positions.
-
-The network is trained in numpy by backpropagation through time. Its state begins anew with
-each piece, so a worker runs every distinct piece once and looks it up after that; every
-position of the whole text is still counted.
+Two gated recurrent layers read the lower-cased UTF-8 bytes of a text, blanks included (a run of them as
+one space), from both ends and label every position with a distribution over languages. A
+document's distribution is the mean over all its positions.
+
+A text is read in windows of WINDOW bytes, of which only the middle ones count: EDGE bytes on
+either side let the state settle, so each position is labelled once and knows its surroundings across
+words. Windows of many documents run side by side. The network is trained in numpy by backpropagation
+through time.
 """
 
 from __future__ import annotations
@@ -16,37 +17,53 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import common
 
 UNDETERMINED = "und"
 HIDDEN = 16
-PIECE = 24
-#: Bounds of the training sample: languages (the most frequent), documents of each, bytes of a document.
-MAX_LANGS, SAMPLE_DOCS, SAMPLE_BYTES = 128, 200, 20_000
-STEPS, BATCH, RATE = 500, 384, 0.01
-#: Pieces that a worker remembers, and bytes of text that it takes at once.
-MEMORY, AT_ONCE = 250_000, 1 << 22
+#: Bytes of a window, and those at either end that give context only.
+WINDOW, EDGE = 256, 8
+#: Bounds of the training sample: documents of a language, characters of a document.
+SAMPLE_DOCS, SAMPLE_CHARS = 200, 4000
+#: Steps of training, windows of a step and their bytes, greatest rate.
+STEPS, BATCH, PIECE, RATE = 300, 160, 32, 0.012
+#: Windows that run side by side, and bytes of text that a worker takes at once.
+SIDE, AT_ONCE = 1024, 1 << 20
 _LETTER = re.compile("[A-Za-z]")
 
 
-def pieces(text: str) -> list[bytes]:
-    """The words of a text as bytes, lower-cased, long ones cut; together all its non-blank positions."""
-    out = text.lower().encode("utf-8", "replace").split()
-    if max(map(len, out), default=0) <= PIECE:
-        return out
-    return [w[i : i + PIECE] for w in out for i in range(0, len(w), PIECE)]
+def stream(text: str) -> bytes:
+    """The bytes that the network reads: lower-cased, runs of ASCII blanks as one space, none at the ends."""
+    return b" ".join(text.lower().encode("utf-8", "replace").split())
 
 
 def has_letter(text: str | None) -> bool:
     return bool(text) and (bool(_LETTER.search(text)) or (not text.isascii() and any(map(str.isalpha, text))))
 
 
+def windows(docs: list[bytes]) -> tuple[np.ndarray, ...]:
+    """Windows over documents: (bytes, document, start, length, first and end of what counts); longest first.
+
+    start is a place in the joined bytes; first and end are places in the window.
+    """
+    size = np.array([len(d) for d in docs], np.int64)
+    core = WINDOW - 2 * EDGE
+    many = -(-size // core)
+    doc = np.repeat(np.arange(len(docs)), many)
+    at = (np.arange(len(doc)) - np.repeat(np.cumsum(many) - many, many)) * core
+    lo, hi = np.maximum(at - EDGE, 0), np.minimum(at + core + EDGE, size[doc])
+    begin = (np.cumsum(size) - size)[doc]
+    order = np.argsort(lo - hi, kind="stable")
+    parts = (doc, begin + lo, hi - lo, at - lo, np.minimum(at + core, size[doc]) - lo)
+    return np.frombuffer(b"".join(docs), np.uint8), *(x[order] for x in parts)
+
+
 def padded(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """(bytes, lengths): a row a word, padded with zeros on the right."""
-    n = np.fromiter(map(len, words), np.int64, len(words))
+    """Byte rows of equal width, and true lengths."""
+    n = np.array([len(w) for w in words])
     width = int(n.max(initial=0))
     return np.frombuffer(b"".join(w.ljust(width, b"\0") for w in words), np.uint8).reshape(len(words), width), n
 
@@ -57,6 +74,15 @@ def _mirrored(x: np.ndarray, n: np.ndarray) -> np.ndarray:
     return np.take_along_axis(x, np.where(at >= 0, at, np.arange(x.shape[1])[None, :]), axis=1)
 
 
+def _sigmoid(x: np.ndarray) -> np.ndarray:
+    """1 / (1 + exp(-x)), in place."""
+    np.negative(x, out=x)
+    np.minimum(x, 80, out=x)
+    np.exp(x, out=x)
+    x += 1
+    return np.reciprocal(x, out=x)
+
+
 class BiGru:
     """The network: for each direction byte weights W (with bias), state weights U; output weights V, c."""
 
@@ -98,16 +124,53 @@ class BiGru:
         e = np.exp(logits)
         return e / e.sum(axis=2, keepdims=True), both, y, kf, kb
 
-    def label(self, words: list[bytes]) -> np.ndarray:
-        """Sums over a word's positions of their distributions, a row a word."""
-        out = np.zeros((len(words), len(self.langs)), np.float32)
-        order = sorted(range(len(words)), key=lambda i: -len(words[i]))
-        for at in range(0, len(order), 4096):
-            part = order[at : at + 4096]
-            x, n = padded([words[i] for i in part])
-            prob = self._forward(x, n)[0]
-            live = np.arange(x.shape[1])[:, None] < n[None, :]
-            out[part] = (prob * live[:, :, None]).sum(axis=0)
+    def _marks(self, x: np.ndarray, n: np.ndarray) -> np.ndarray:
+        """Logits (language, position, row) without the states that training keeps; rows are sorted by falling length."""
+        width, h = x.shape[1], HIDDEN
+        out = np.empty((len(self.langs), width, len(x)), np.float32)
+        out[:] = self.p["c"][:, None, None]
+        full = int((n == width).sum())
+        for side, inp, v in (("f", x, self.p["V"][:h]), ("b", _mirrored(x, n), self.p["V"][h:])):
+            w, u = self.p["W" + side], self.p["U" + side]
+            state = np.zeros((len(x), h), np.float32)
+            for t in range(width):
+                a = len(x) if t < n[-1] else int((n > t).sum())
+                g, s = w.take(inp[:a, t], axis=0), state[:a]
+                m = s @ u
+                zr = _sigmoid(g[:, : 2 * h] + m[:, : 2 * h])
+                new = m[:, 2 * h :] * zr[:, h:]
+                new += g[:, 2 * h :]
+                new += new
+                new = _sigmoid(new)  # tanh(x) is 2 sigmoid(2x) - 1; exp is the faster function here
+                new += new
+                new -= 1
+                s -= new
+                s *= zr[:, :h]
+                s += new
+                y = v.T @ s.T
+                if side == "f":
+                    out[:, t, :a] += y
+                else:
+                    out[:, width - 1 - t, : min(a, full)] += y[:, :full]
+                    rows = np.arange(full, a)
+                    out[:, n[rows] - 1 - t, rows] += y[:, full:]
+        return out
+
+    def label(self, docs: list[bytes]) -> np.ndarray:
+        """Sums over a document's positions of their distributions, a row a document."""
+        data, doc, start, size, first, end = windows(docs)
+        out = np.zeros((len(docs), len(self.langs)))
+        for at in range(0, len(doc), SIDE):
+            now = slice(at, at + SIDE)
+            n = size[now]
+            place = start[now, None] + np.minimum(np.arange(n[0])[None, :], n[:, None] - 1)
+            e = self._marks(data[place], n)
+            e -= e.max(axis=0)
+            np.exp(e, out=e)
+            e /= e.sum(axis=0)
+            t = np.arange(n[0])[:, None]
+            e *= (t >= first[now]) & (t < end[now])
+            np.add.at(out, doc[now], e.sum(axis=1, dtype=np.float64).T)
         return out
 
     def gradients(self, words: list[bytes], langs: np.ndarray) -> tuple[float, dict[str, np.ndarray]]:
@@ -146,15 +209,16 @@ class BiGru:
                 carry[:a] = ds * z + dm @ u.T
         return float(loss), grad
 
-    def fit(self, by_lang: list[list[bytes]], steps: int = STEPS, seed: int = 5) -> BiGru:
-        """Adam over balanced batches of words; ``by_lang`` has the words of each language's sample."""
+    def fit(self, by_lang: list[list[bytes]], seed: int = 5) -> BiGru:
+        """Adam over balanced batches of windows; ``by_lang`` has the documents of each language's sample."""
         rng = np.random.default_rng(seed)
+        joined = [b" ".join(docs) for docs in by_lang]
         m, v = ({k: np.zeros_like(x) for k, x in self.p.items()} for _ in range(2))
-        for step in range(1, steps + 1):
-            langs = rng.integers(len(by_lang), size=BATCH)
-            words = [by_lang[k][rng.integers(len(by_lang[k]))] for k in langs]
-            _, grad = self.gradients(words, langs)
-            rate = RATE * min(1.0, 2.0 * (1 - step / (steps + 1)))
+        for step in range(1, STEPS + 1):
+            langs = rng.integers(len(joined), size=BATCH)
+            places = [int(rng.integers(max(1, len(joined[k]) - PIECE + 1))) for k in langs]
+            _, grad = self.gradients([joined[k][p : p + PIECE] for k, p in zip(langs, places)], langs)
+            rate = RATE * min(1.0, 2.0 * (1 - step / (STEPS + 1)))
             for k, g in grad.items():
                 m[k] += 0.1 * (g - m[k])
                 v[k] += 0.01 * (g * g - v[k])
@@ -162,55 +226,47 @@ class BiGru:
         return self
 
 
-def train(labelled: DataFrame) -> BiGru | None:
-    """Fit a network to ``labelled (doc_id, text, lang)``, rows without text or lang left out; None if none is left.
+def sample(labelled: DataFrame) -> DataFrame:
+    """A bounded sample of ``labelled (doc_id, text, lang)``: lang, h, piece; rows without text or lang are left out.
 
-    The sample is bounded: the MAX_LANGS most frequent languages, SAMPLE_DOCS documents of each
-    (those with the smallest hashes of their id and text, repeated rows once), none of more than SAMPLE_BYTES bytes.
+    Of each language, with repeated rows counted once, the SAMPLE_DOCS documents with the smallest hashes
+    of id and text, and a piece of SAMPLE_CHARS characters at a place that the hash chooses.
+    A language's cut is read off an approximate count of its documents, and doubled until it has enough or all, so no
+    task ever sees all documents of one language.
     """
     some = labelled.where("lang is not null and text is not null").select("doc_id", "text", "lang")
-    some = some.where(F.octet_length("text") <= SAMPLE_BYTES)
     some = some.withColumn("h", F.xxhash64(F.col("doc_id").cast("string"), F.col("text")))
-    counts = some.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGS).collect()
-    langs = sorted(r["lang"] for r in counts)
-    if not langs:
-        return None
-    place = Window.partitionBy("lang").orderBy("h")
-    picked = some.select("lang", "h").where(F.col("lang").isin(langs)).distinct().withColumn("r", F.row_number().over(place)).where(F.col("r") <= SAMPLE_DOCS)
-    cuts = {r["lang"]: r["top"] for r in picked.groupBy("lang").agg(F.max("h").alias("top")).collect()}
-    ask = [(F.col("lang") == k) & (F.col("h") <= top) for k, top in cuts.items()]
-    anyone = ask[0]
-    for a in ask[1:]:
-        anyone = anyone | a
-    by_lang: dict[str, list[bytes]] = {k: [] for k in langs}
-    docs: dict[str, int] = dict.fromkeys(langs, 0)
-    for r in some.where(anyone).select("lang", "h", "text").dropDuplicates(["lang", "h"]).orderBy("lang", "h").collect():
-        if docs[r["lang"]] < SAMPLE_DOCS and has_letter(r["text"]):
-            docs[r["lang"]] += 1
-            by_lang[r["lang"]] += pieces(r["text"])
-    langs = [k for k in langs if by_lang[k]]
-    return BiGru(langs).fit([by_lang[k] for k in langs]) if langs else None
+    share = F.col("h").cast("double") / F.lit(float(1 << 64)) + 0.5
+    cuts = {r["lang"]: 3.0 * SAMPLE_DOCS / r["n"] for r in some.groupBy("lang").agg(F.approx_count_distinct("h").alias("n")).collect() if r["n"]}
+    if not cuts:
+        return some.select("lang", "h", F.col("text").alias("piece")).limit(0)
+    while True:
+        cut = F.element_at(F.map_from_arrays(F.array(*map(F.lit, cuts)), F.array(*map(F.lit, cuts.values()))), F.col("lang"))
+        below = some.where(share <= cut)
+        held = below.select("lang", "h").distinct().groupBy("lang").agg(F.sort_array(F.collect_list("h")).alias("h")).collect()
+        got = {r["lang"]: r["h"] for r in held}
+        few = [k for k, c in cuts.items() if c < 1 and len(got.get(k, [])) < SAMPLE_DOCS]
+        if not few:
+            break
+        cuts.update({k: 2 * cuts[k] for k in few})
+    tops = {k: h[:SAMPLE_DOCS][-1] for k, h in got.items()}
+    top = F.element_at(F.map_from_arrays(F.array(*map(F.lit, tops)), F.array(*map(F.lit, tops.values()))), F.col("lang"))
+    place = F.pmod("h", F.greatest(F.lit(1), F.char_length("text") - F.lit(SAMPLE_CHARS) + 1).cast("long")).cast("int") + 1
+    piece = F.substring("text", place, F.lit(SAMPLE_CHARS))
+    return below.where(F.col("h") <= top).groupBy("lang", "h").agg(F.min(piece).alias("piece"))
 
 
-class Reader:
-    """Labels documents with a network, remembering pieces."""
-
-    def __init__(self, net: BiGru) -> None:
-        self.net, self.places = net, {}
-        self.sums = np.zeros((0, len(net.langs)), np.float32)
+def train(labelled: DataFrame) -> BiGru | None:
+    """Fit a network to a sample of ``labelled (doc_id, text, lang)``; None where it has no letters.
 
-    def read(self, docs: list[list[bytes]]) -> np.ndarray:
-        """Mean distributions of documents with at least one piece each."""
-        if len(self.places) > MEMORY:
-            self.places, self.sums = {}, self.sums[:0]
-        fresh = list(set().union(*docs).difference(self.places))
-        self.places.update(zip(fresh, range(len(self.places), len(self.places) + len(fresh))))
-        self.sums = np.concatenate([self.sums, self.net.label(fresh)])
-        out = np.zeros((len(docs), self.sums.shape[1]))
-        for i, d in enumerate(docs):
-            at = np.fromiter(map(self.places.__getitem__, d), np.int64, len(d))
-            out[i] = self.sums[at].sum(axis=0, dtype=np.float64)
-        return out / out.sum(axis=1, keepdims=True)
+    Every language with labelled text is learned. The driver holds SAMPLE_DOCS pieces of each.
+    """
+    by_lang: dict[str, list[bytes]] = {}
+    for r in sample(labelled).orderBy("lang", "h").toLocalIterator():
+        if has_letter(r["piece"]):
+            by_lang.setdefault(r["lang"], []).append(stream(r["piece"]))
+    langs = sorted(by_lang)
+    return BiGru(langs).fit([by_lang[k] for k in langs]) if langs else None
 
 
 def identify(docs: DataFrame, net: BiGru | None) -> DataFrame:
@@ -224,20 +280,20 @@ def identify(docs: DataFrame, net: BiGru | None) -> DataFrame:
     schema = docs.drop("lang_pred", "score").withColumn("lang_pred", F.lit("")).withColumn("score", F.lit(0.0)).schema
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        reader = Reader(net)
         for b in batches:
             b = b.reset_index(drop=True)
             lang, score = np.full(len(b), UNDETERMINED, object), np.zeros(len(b))
             held, rows, size = [], [], 0
 
             def flush() -> None:
-                p = reader.read(held)
+                p = net.label(held)
+                p = np.round(p / p.sum(axis=1, keepdims=True), 4)  # beyond that, sums depend on what runs side by side
                 lang[rows] = np.array(net.langs, object)[p.argmax(axis=1)]
                 score[rows] = p.max(axis=1)
 
             for i, t in enumerate(b["text"]):
                 if has_letter(t):
-                    held.append(pieces(t))
+                    held.append(stream(t))
                     rows.append(i)
                     size += len(t)
                     if size > AT_ONCE:

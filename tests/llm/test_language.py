@@ -1,3 +1,4 @@
+import os
 import random
 import zlib
 
@@ -47,16 +48,31 @@ def brute(n, word):
         return out
 
     f, b = side("f", word), side("b", word[::-1])[::-1]
-    total = np.zeros(len(n.langs))
+    out = []
     for x, y in zip(f, b):
         e = np.exp(np.concatenate([x, y]) @ n.p["V"] + n.p["c"])
-        total += e / e.sum()
+        out.append(e / e.sum())
+    return out
+
+
+def in_windows(n, doc):
+    """The sums that brute force gives over windows, of which the middle counts."""
+    core, total = la.WINDOW - 2 * la.EDGE, np.zeros(len(n.langs))
+    for at in range(0, len(doc), core):
+        lo, hi = max(0, at - la.EDGE), min(len(doc), at + core + la.EDGE)
+        each = brute(n, doc[lo:hi])
+        total += sum(each[at - lo : min(at + core, len(doc)) - lo])
     return total
 
 
-def test_labels_equal_brute_force():
-    n, words = net(), [b"a", b"hello", b"", b"\xc3\xa9t\xc3\xa9", b"abcdefghijklmnopqrstuvwx", b"hi"]
-    assert np.allclose(n.label(words), [brute(n, w) for w in words], atol=1e-4)
+def test_labels_equal_brute_force(monkeypatch):
+    rng = random.Random(2)
+    n, docs = net(), [b"a", b"hello", b"", b"\xc3\xa9t\xc3\xa9", b"hi there"] + [bytes(rng.choice(b"abc de") for _ in range(k)) for k in (19, 20, 21, 33, 150)]
+    for window, edge, side in ((256, 8, 1024), (20, 4, 3), (20, 0, 7)):
+        monkeypatch.setattr(la, "WINDOW", window)
+        monkeypatch.setattr(la, "EDGE", edge)
+        monkeypatch.setattr(la, "SIDE", side)
+        assert np.allclose(n.label(docs), [in_windows(n, d) for d in docs], atol=1e-3)
 
 
 def test_gradients_equal_differences():
@@ -76,9 +92,8 @@ def test_gradients_equal_differences():
             assert abs((up - down) / (2 * eps) - grad[k][at]) < 2e-3 + 0.05 * abs(grad[k][at])
 
 
-def test_pieces_hold_every_position():
-    t = "Ab " + "É" * 50 + "\t x"
-    assert b"".join(la.pieces(t)) == "".join(t.lower().split()).encode()
+def test_stream_holds_every_position():
+    assert la.stream("Ab " + "É" * 50 + "\t x\n") == ("ab " + "é" * 50 + " x").encode()
 
 
 def test_query(spark, rows, tmp_path, monkeypatch):
@@ -107,10 +122,29 @@ def test_no_rows_and_no_labels(spark, rows, tmp_path):
     assert {r.lang_pred for r in la.op3_language(spark, f"{tmp_path}/b").collect()} == {"und"}
 
 
-def test_repeated_rows_fill_one_place_of_the_sample(spark, rows, monkeypatch):
+def test_sample_is_bounded_whole_and_repeatable(spark, rows, monkeypatch):
     monkeypatch.setattr(la, "SAMPLE_DOCS", 3)
-    seen = {}
-    monkeypatch.setattr(la.BiGru, "fit", lambda self, by_lang: seen.update(zip(self.langs, map(len, by_lang))) or self)
-    many = [(None, "bado kilum", "aa")] * 300 + [r for r in rows if r[2]]
-    net = la.train(frame(spark, many))
-    assert net.langs == ["aa", "bb", "cc"] and all(seen.values())
+    monkeypatch.setattr(la, "SAMPLE_CHARS", 40)
+    many = [(None, "bado kilum", "aa")] * 300 + [r for r in rows if r[2]] + [(k, f"lumpa {k} " * 9000, "long") for k in range(950, 960)] + [(990, "only one", "rare")]
+    got = [sorted(map(tuple, la.sample(frame(spark, many).repartition(k)).collect())) for k in (1, 4)]
+    assert got[0] == got[1]
+    per = {k: [r for r in got[0] if r[0] == k] for k in {r[2] for r in many}}
+    assert {k: len(v) for k, v in per.items()} == {"aa": 3, "bb": 3, "cc": 3, "long": 3, "rare": 1}
+    assert all(len(p) <= 40 for _, _, p in got[0])
+    hashes = frame(spark, many).where("lang = 'bb' and text is not null").select(F.xxhash64(F.col("doc_id").cast("string"), F.col("text")).alias("h")).distinct().orderBy("h").limit(3)
+    assert [r.h for r in hashes.collect()] == [h for _, h, _ in per["bb"]]
+
+
+def test_every_language_is_learned(spark, rows, monkeypatch):
+    seen = []
+    monkeypatch.setattr(la.BiGru, "fit", lambda self, by_lang: seen.append((self.langs, [len(x) for x in by_lang])) or self)
+    many = [(i, "bado kilum", f"l{i:03}") for i in range(300)]
+    assert len(la.train(frame(spark, many)).langs) == 300
+
+
+@pytest.mark.skipif(not os.path.exists("/root/testdata/sf0.01"), reason="needs the synthetic tables")
+def test_held_out_accuracy_on_the_tables(spark):
+    d = "/root/testdata/sf0.01"
+    got = la.op3_language(spark, d).join(spark.read.parquet(f"{d}/documents.parquet").select("doc_id", "lang"), "doc_id")
+    got = got.where("held_out and lang is not null and lang_pred <> 'und'").select((F.col("lang") == F.col("lang_pred")).cast("int").alias("ok")).agg(F.avg("ok"), F.count("ok")).first()
+    assert got[1] > 100 and got[0] >= 0.98
