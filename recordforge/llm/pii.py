@@ -46,6 +46,10 @@ CONTEXT = {
     "phone": r"tel|phone|call|mobile|fax|cell|whatsapp|telefon|llame|appel",
 }
 CHUNK = 256
+#: A candidate has fewer characters than REACH (an address of six parts is the longest) and more than two, and candidates of one
+#: kind lie apart: so many others at most can start before it, or after it, and overlap it.
+REACH = 512
+NEIGHBOURS = REACH // 3 * len(KINDS)
 TRAIN_LINES = 1600
 ROUNDS, DEPTH, RATE = 24, 2, 0.3
 #: The least calibrated probability that selects a candidate.
@@ -290,19 +294,75 @@ def models(spark: SparkSession) -> dict[str, Boosted]:
     return _fitted
 
 
+def _running_max(values: Column, least: int) -> Column:
+    """For each place of an array of ints the greatest value before it (``least`` at first), by chunks, so in linear time."""
+
+    def of(x: Column) -> Column:
+        chunks = F.sequence(F.lit(0), F.floor((F.size(x) - 1) / CHUNK).cast("int"))
+        part = lambda j: F.slice(x, j * CHUNK + 1, F.lit(CHUNK))
+        grow = lambda acc, v: F.array_append(acc, F.greatest(F.element_at(acc, -1), v))
+        carry = F.aggregate(chunks, F.array(F.lit(least)), lambda acc, j: grow(acc, F.array_max(part(j))))
+        spread = lambda j, c: F.slice(F.aggregate(part(j), F.array(c), grow), F.lit(1), F.size(part(j)))
+        return F.flatten(F.zip_with(chunks, F.slice(carry, F.lit(1), F.size(chunks)), spread))
+
+    return F.element_at(F.transform(F.array(values), of), 1)
+
+
+def _apart(base: Column, more: Column) -> Column:
+    """The candidates ``more`` that overlap no span of ``base``: one sweep over both in the order of their starts."""
+    spot = lambda c, tag: F.struct(c["start"].alias("start"), F.lit(tag).alias("tag"), c["end"].alias("end"), c["p"].alias("p"), c["kind"].alias("kind"))
+    put = lambda c: F.struct(c["start"].alias("start"), F.lit(0).alias("tag"), c["end"].alias("end"), F.lit(0.0).alias("p"), F.lit("").alias("kind"))
+    both = F.array_sort(F.concat(F.transform(base, put), F.transform(more, lambda c: spot(c, 1))))
+
+    def sweep(u: Column) -> Column:
+        ended = _running_max(F.transform(u, lambda c: F.when(c["tag"] == 0, c["end"]).otherwise(-1)), -1)
+        far = 1 << 30
+        begins = F.reverse(_running_max(F.reverse(F.transform(u, lambda c: F.when(c["tag"] == 0, -c["start"]).otherwise(-far))), -far))
+        met = F.arrays_zip(u.alias("u"), ended.alias("ended"), begins.alias("begins"))
+        free = F.filter(met, lambda c: (c["u"]["tag"] == 1) & (c["ended"] <= c["u"]["start"]) & (-c["begins"] >= c["u"]["end"]))
+        return F.transform(free, lambda c: c["u"])
+
+    return F.element_at(F.transform(F.array(both), sweep), 1)
+
+
+def _best(spots: Column) -> Column:
+    """Of candidates in the order of their starts those that overlap no better one.
+
+    A candidate has at most REACH characters and candidates of a kind do not overlap, so only so many
+    neighbours in the order can meet it; those of a chunk are looked up in one slice around it.
+    """
+    over = lambda a, b: (a["start"] < b["end"]) & (b["start"] < a["end"])
+    first = lambda a, b: (a["p"] > b["p"]) | ((a["p"] == b["p"]) & ((a["start"] < b["start"]) | ((a["start"] == b["start"]) & (a["kind"] < b["kind"]))))
+
+    def of(u: Column) -> Column:
+        chunks = F.sequence(F.lit(0), F.floor((F.size(u) - 1) / CHUNK).cast("int"))
+
+        def keep(j: Column) -> Column:
+            lo = F.greatest(F.lit(0), j * CHUNK - NEIGHBOURS)
+            around = F.slice(u, lo + 1, F.lit(CHUNK + 2 * NEIGHBOURS))
+            return F.filter(F.slice(u, j * CHUNK + 1, F.lit(CHUNK)), lambda c: ~F.exists(around, lambda d: over(c, d) & first(d, c)))
+
+        return F.flatten(F.transform(chunks, keep))
+
+    return F.element_at(F.transform(F.array(spots), of), 1)
+
+
 def spans(docs: DataFrame, select: float = SELECT) -> DataFrame:
-    """``docs`` with two columns more: ``base`` and ``found``, arrays of (kind, start, end), code points.
+    """``docs`` with four columns more: ``base`` and ``found``, arrays of (kind, start, end) in code points, ``proposed``, ``likeliest``.
 
     base: matches of the base patterns that pass their check, by kind (email, ip, card, phone) and start.
-    found: those and the candidates that the trees select, in the same order. Places count code
-    points, the end is exclusive. A null or empty text has none; texts are searched whole;
-    no other column is read.
+    found: those and the candidates that the trees select, in the same order; a candidate that overlaps a base
+    span or a better selected candidate goes. proposed counts the candidates, likeliest is their greatest probability
+    (null without any). Places count code points, the end is exclusive. A null or empty text has
+    none; texts are searched whole. Repeated rows are each searched; an empty table gives no rows. Columns that
+    ``docs`` has under one of the four names are replaced, all others are kept.
     """
     trees = models(docs.sparkSession)
-    text = F.coalesce("text", F.lit(""))
+    text = F.coalesce("_text", F.lit(""))
     empty = F.array().cast("array<struct<start:int,end:int>>")
     short = lambda c: F.struct(c["start"].alias("start"), c["end"].alias("end"))
-    out = docs
+    # the caller's row is one column, so that no name of its meets one made here
+    out = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), F.col("text").alias("_text"))
 
     def based(k: str) -> Column:
         return F.transform(F.filter(matches(text, BASE[k], _prefilter(k, text, wide=False)), lambda c: _passes(k, c["m"])), short)
@@ -312,16 +372,15 @@ def spans(docs: DataFrame, select: float = SELECT) -> DataFrame:
 
     for k in KINDS:
         out = out.withColumn(f"_base_{k}", based(k)).withColumn(f"_wide_{k}", candidates(k, text))
+    whole = "array<struct<p:double,start:int,end:int,kind:string>>"
     for k in KINDS:
-        out = out.withColumn(f"_wide_{k}", F.when(F.size(f"_wide_{k}") > 0, F.filter(scored(k), lambda c: c["p"] >= select)))
+        out = out.withColumn(f"_wide_{k}", F.when(F.size(f"_wide_{k}") > 0, scored(k)).otherwise(F.array().cast(whole)))
     out = out.withColumn("_all", F.concat(*[F.col(f"_base_{k}") for k in KINDS]))
-    whole = "array<struct<p:double,start:int,end:int,kind:string>>"
-    out = out.withColumn("_more", F.concat(*[F.coalesce(f"_wide_{k}", F.array().cast(whole)) for k in KINDS]))
-    over = lambda a, b: (a["start"] < b["end"]) & (b["start"] < a["end"])
-    first = lambda a, b: (a["p"] > b["p"]) | ((a["p"] == b["p"]) & ((a["start"] < b["start"]) | ((a["start"] == b["start"]) & (a["kind"] < b["kind"]))))
-    free = F.filter("_more", lambda c: ~F.exists("_all", lambda b: over(b, c)))
-    out = out.withColumn("_more", F.when(F.size("_more") > 0, free).otherwise(F.col("_more")))
-    out = out.withColumn("_more", F.filter("_more", lambda c: ~F.exists("_more", lambda d: over(c, d) & first(d, c))))
+    out = out.withColumn("_wide", F.concat(*[F.col(f"_wide_{k}") for k in KINDS]))
+    out = out.withColumn("_more", F.filter("_wide", lambda c: c["p"] >= select))
+    spots = "array<struct<start:int,tag:int,end:int,p:double,kind:string>>"
+    out = out.withColumn("_more", F.when(F.size("_more") > 0, _apart(F.col("_all"), F.col("_more"))).otherwise(F.array().cast(spots)))
+    out = out.withColumn("_more", F.when(F.size("_more") > 1, _best(F.col("_more"))).otherwise(F.col("_more")))
 
     def of_kind(k: str, more: bool) -> Column:
         part = F.col(f"_base_{k}")
@@ -333,18 +392,19 @@ def spans(docs: DataFrame, select: float = SELECT) -> DataFrame:
     def by_kind(more: bool) -> Column:
         return F.concat(*[of_kind(k, more) for k in KINDS])
 
-    drop = [f"_{a}_{k}" for a in ("base", "wide") for k in KINDS] + ["_all", "_more"]
-    return out.withColumns({"base": by_kind(False), "found": by_kind(True)}).drop(*drop)
+    made = {"base": by_kind(False), "found": by_kind(True), "proposed": F.size("_wide").cast("long"), "likeliest": F.array_max(F.transform("_wide", lambda c: c["p"]))}
+    return out.select(*[F.col("_row")[c].alias(c) for c in docs.columns if c.lower() not in made], *[v.alias(k) for k, v in made.items()])
 
 
 def redact(docs: DataFrame, select: float = SELECT) -> DataFrame:
     """``docs`` with every span in ``text`` replaced by its kind, as ``[EMAIL]``; null texts stay null.
 
-    Overlapping spans become the mark of the first. Other columns are kept as they are.
+    Overlapping spans become the mark of the first. Other columns are kept as they are, whatever their names; repeated
+    rows are each redacted; an empty table stays empty.
     """
-    kept = docs.columns
+    row = docs.select("text", F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_caller"))
     text = F.col("text")
-    marked = spans(docs, select).withColumn("found", F.array_sort(F.transform("found", lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind")))))
+    marked = spans(row, select).withColumn("found", F.array_sort(F.transform("found", lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind")))))
     cut = lambda a, b: F.substring(text, a + 1, b - a)
 
     def step(acc: Column, s: Column) -> Column:
@@ -353,11 +413,16 @@ def redact(docs: DataFrame, select: float = SELECT) -> DataFrame:
 
     zero = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
     new = F.aggregate("found", zero, step, lambda a: F.concat(a["out"], cut(a["at"], F.char_length(text))))
-    return marked.withColumn("text", F.when(F.size("found") > 0, new).otherwise(text)).select(*kept)
+    marked = marked.select("_caller", F.when(F.size("found") > 0, new).otherwise(text).alias("_new"))
+    return marked.select(*[F.col("_new").alias(c) if c.lower() == "text" else F.col("_caller")[c].alias(c) for c in docs.columns])
 
 
 def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Personal data in all documents; counts and digest of the base spans, and all spans."""
+    """Personal data in all documents; counts and digest of the base spans, all spans, and what the trees were asked.
+
+    n_candidates and likeliest: the spans that the generators propose and the greatest probability that the trees
+    give one; n_added: the spans that they add to those of the base patterns.
+    """
     out = spans(common.table(spark, sf_dir, "documents", "doc_id", "text"))
 
     def count(k: str) -> Column:
@@ -365,4 +430,6 @@ def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     counts = [count(k) for k in KINDS]
     line = lambda c: F.array_join(F.transform(c, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
-    return out.select("doc_id", *counts, F.sha2(line("base").cast("binary"), 256).alias("base_sha256"), line("found").alias("spans"))
+    added = (F.size("found") - F.size("base")).cast("long").alias("n_added")
+    digest = F.sha2(line("base").cast("binary"), 256).alias("base_sha256")
+    return out.select("doc_id", *counts, digest, line("found").alias("spans"), F.col("proposed").alias("n_candidates"), added, F.round("likeliest", 6).alias("likeliest"))
