@@ -28,6 +28,8 @@ WEIGHTS = (3, 1, 2)
 MAX_SLOTS = 1 << 20
 MIN_BLOCK = 16
 CHUNK = 4096
+#: Cells of the line on which points meet the sources' shares.
+CELLS = 4096
 
 
 def word_count(text: Column) -> Column:
@@ -65,23 +67,26 @@ def targets(sizes: DataFrame, weights=WEIGHTS, share_num: int = 3, share_den: in
     return s.select("source", "si", "source_size", F.when(F.col("stops"), F.col("top").cast("double")).otherwise(shared).alias("target"))
 
 
-def schedule(spark: SparkSession, quota: list[tuple[int, int]]) -> DataFrame:
-    """Slots of the mix: slot, si, block. ``quota``: (si, blocks) by source, in order.
+def schedule(quota: DataFrame) -> DataFrame:
+    """Slots of the mix: slot, si, block. ``quota``: si, want (blocks, at least one) by source.
 
-    Slot i belongs to the source in whose share of the cumulative quotas the point
+    Slot i belongs to the source in whose share of the cumulative quotas, in the order of si, the point
     ``frac((i + 1) * PHI)`` falls. Ranks beyond the quota are given up, and the few blocks that the sequence
-    has left over take the slots after the last, so that each block of a quota has one slot.
+    has left over take the slots after the last, so that each block of a quota has one slot. Points meet
+    shares on the cells of a line, so sources are neither gathered nor held by the driver; only their running
+    sum, one row a source, is one task's work. No quota gives no slots.
     """
-    n, ends, total = sum(b for _, b in quota), [], 0
-    for _, b in quota:
-        total += b
-        ends.append(total)
-    point = (F.col("slot") + 1) * F.lit(PHI)
-    at = (point - F.floor(point)) * F.lit(float(n))
-    place = F.size(F.filter(F.array(*map(F.lit, ends)), lambda e: e.cast("double") <= at))
-    si, limit = (F.get(F.array(*[F.lit(x[k]) for x in quota]), F.col("place")) for k in (0, 1))
-    slots = spark.range(n).select(F.col("id").alias("slot"), F.floor(F.col("id") / CHUNK).alias("chunk"))
-    slots = slots.withColumn("place", F.least(place, F.lit(len(quota) - 1))).withColumn("si", si).withColumn("limit", limit)
+    n = quota.agg(F.sum("want")).first()[0] or 0
+    cells = max(1, min(n, CELLS))
+    cell = lambda x: F.least(F.floor(x * F.lit(cells) / F.lit(max(1, n))), F.lit(cells - 1))
+    shares = quota.select("si", F.col("want").alias("limit"), F.sum("want").over(Window.orderBy("si").rowsBetween(Window.unboundedPreceding, 0)).alias("end"))
+    shares = shares.withColumn("begin", F.col("end") - F.col("limit"))
+    shares = shares.withColumn("cell", F.explode(F.sequence(F.greatest(cell(F.col("begin")) - 1, F.lit(0)), F.least(cell(F.col("end")) + 1, F.lit(cells - 1)))))
+    point = (F.col("id") + 1) * F.lit(PHI)
+    at = F.least((point - F.floor(point)) * F.lit(float(n)), F.lit(n - 0.5))
+    slots = quota.sparkSession.range(n).select(F.col("id").alias("slot"), F.floor(F.col("id") / CHUNK).alias("chunk"), at.alias("at"))
+    slots = slots.withColumn("cell", cell(F.col("at"))).join(shares, "cell").where("begin <= at and at < end").select("slot", "chunk", "si", "limit")
+    slots = common.written(slots, "mix-slots")
     per = slots.groupBy("si", "chunk").agg(F.count("*").alias("n"))
     run = Window.partitionBy("si").orderBy("chunk")
     per = per.withColumn("before", F.sum("n").over(run) - F.col("n"))
@@ -89,8 +94,7 @@ def schedule(spark: SparkSession, quota: list[tuple[int, int]]) -> DataFrame:
     ranked = slots.withColumn("r", F.row_number().over(inside) - 1).join(per.drop("n"), ["si", "chunk"])
     ranked = ranked.select("slot", "si", (F.col("before") + F.col("r")).alias("block"), "limit").where("block < limit").drop("limit")
     got = per.groupBy("si").agg(F.sum("n").alias("got"))
-    want = spark.createDataFrame(quota, "si int, want long")
-    late = want.join(got, "si", "left").where("want > coalesce(got, 0)")
+    late = quota.join(got, "si", "left").where("want > coalesce(got, 0)")
     late = late.select((F.lit(n) + F.col("si")).alias("slot"), "si", F.explode(F.sequence(F.coalesce("got", F.lit(0)), F.col("want") - 1)).alias("block"))
     return ranked.unionByName(late)
 
@@ -99,22 +103,20 @@ def mix(docs: DataFrame, weights=WEIGHTS, share_num: int = 3, share_den: int = 2
     """The mix of ``docs (doc_id, source, text)``: (documents, pieces).
 
     documents: doc_id, the columns of ``keep``, source, size, source_size, target, taken; one row for each row of the
-    input, repeated ids and all. pieces: slot, si, block, doc_id, words: which words count of which document a
+    input, repeated ids and all, with first_slot, n_slots and slot_sum of the slots that hold words of it. pieces: slot, si, block, doc_id, words: which words count of which document a
     slot of the mix holds. A source's taken words are its target, rounded down. No document gives
     more than ``cap`` times its words. Documents without words (null, empty, blank) take nothing;
-    an empty table gives empty results. The number of sources is taken to be moderate
-    (their targets, one row each, are read by the driver); the number of documents is not bounded.
+    an empty table gives empty results. Neither the
+    documents nor the sources are bounded in number.
     """
-    spark = docs.sparkSession
     key = F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
     sizes = docs.select("doc_id", *keep, "source", word_count(F.col("text")).alias("size"))
     sizes = common.written(sizes.withColumn("key", key), "mix-sizes")
     aims = common.written(targets(sizes, weights, share_num, share_den, cap), "mix-targets")
-    plan = [(r.si, int(r.target)) for r in aims.orderBy("si").collect()]
-    block = max(MIN_BLOCK, -(-sum(q for _, q in plan) // MAX_SLOTS))
-    quota = [(si, -(-q // block)) for si, q in plan if q > 0]
-
     aims = aims.withColumn("has", F.floor("target"))
+    total = aims.agg(F.sum("has")).first()[0] or 0
+    block = max(MIN_BLOCK, -(-total // MAX_SLOTS))
+    slots = schedule(aims.select("si", F.ceil(F.col("has") / block).alias("want")).where("want > 0"))
     named = sizes.join(aims, sizes.source.eqNullSafe(aims.source)).drop(aims.source).drop("source_size", "target")
     named = named.withColumn("bucket", F.substring("key", 1, 3))
     inside = Window.partitionBy("si", "bucket").orderBy("key", "doc_id", "size", *keep)
@@ -134,16 +136,14 @@ def mix(docs: DataFrame, weights=WEIGHTS, share_num: int = 3, share_den: int = 2
     turned = turned.where(real | (F.col("turn") == 0)).withColumn("block", F.explode_outer(blocks))
     words = F.least("end", (F.col("block") + 1) * block) - F.greatest("at", F.col("block") * block)
     cut = turned.withColumn("words", words)
-    if not quota:
-        slots = spark.createDataFrame([], "slot long, si int, block long")
-    else:
-        slots = schedule(spark, quota)
     met = cut.join(slots, ["si", "block"], "left")
     by = ["doc_id", *keep, "source", "size", "source_size", "target", "si", "start"]
     taken = F.coalesce(F.sum(F.when(F.col("slot").isNotNull(), F.col("words"))), F.lit(0)).alias("taken")
     # rows without words share a place in the stream, so they are told apart by not being grouped
-    some = met.where("size > 0").groupBy(*by).agg(taken).drop("si", "start")
-    none = laid.where("size = 0").drop("si", "has", "start").withColumn("taken", F.lit(0).cast("long"))
+    held = [F.min("slot").alias("first_slot"), F.count("slot").alias("n_slots"), F.coalesce(F.sum("slot"), F.lit(0)).alias("slot_sum")]
+    some = met.where("size > 0").groupBy(*by).agg(taken, *held).drop("si", "start")
+    zero = F.lit(0).cast("long")
+    none = laid.where("size = 0").drop("si", "has", "start").withColumns({"taken": zero, "first_slot": F.lit(None).cast("long"), "n_slots": zero, "slot_sum": zero})
     pieces = met.where("slot is not null").select("slot", "si", "block", "doc_id", "words")
     return some.unionByName(none), pieces
 
@@ -151,21 +151,27 @@ def mix(docs: DataFrame, weights=WEIGHTS, share_num: int = 3, share_den: int = 2
 def mixed(docs: DataFrame, **how) -> DataFrame:
     """``docs`` as the mix has them: each document as often as its taken words make it, rounded.
 
-    All columns are kept. Repeated rows share what the mix takes of them.
+    All columns are kept, whatever their names; they must be orderable. Rows with the same id, source and text share what the
+    mix takes of them, evenly and then in the order of their other columns, so reruns agree. An empty
+    table stays empty; documents without words go.
     """
-    keyed = docs.withColumn("_h", F.xxhash64("text"))
+    # the caller's row is one column, so that no name of its meets one made here
+    keyed = docs.select("doc_id", "source", "text", F.xxhash64("text").alias("_h"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"))
     taken, _ = mix(keyed, keep=("_h",), **how)
-    times = F.floor(F.col("taken") / F.col("size") + 0.5).cast("int")
-    taken = taken.where("taken > 0").withColumn("times", times)
+    times = F.when(F.col("taken") > 0, F.floor(F.col("taken") / F.col("size") + 0.5).cast("int")).otherwise(0)
     same = ["doc_id", "source", "_h"]
-    taken = taken.groupBy(*[F.col(c).alias(f"{c}2") for c in same]).agg(F.sum("times").alias("times"))
-    rows = keyed.join(keyed.groupBy(*[F.col(c).alias(f"{c}1") for c in same]).agg(F.count("*").alias("rows")), _equal(same, "1")).drop(*[f"{c}1" for c in same])
-    rows = rows.join(taken, _equal(same, "2")).drop(*[f"{c}2" for c in same])
-    place = Window.partitionBy(*same).orderBy(F.lit(0))
-    alone = rows.where("rows = 1").withColumn("r", F.lit(1))
-    many = rows.where("rows > 1").withColumn("r", F.row_number().over(place))
-    rows = alone.unionByName(many).withColumn("n", (F.floor(F.col("times") / F.col("rows")) + F.when(F.col("r") <= F.col("times") % F.col("rows"), 1).otherwise(0)).cast("int"))
-    return rows.withColumn("_t", F.explode(F.array_repeat(F.lit(1), F.col("n")))).select(*docs.columns)
+    named = [F.col(c).alias(f"{c}2") for c in same]
+    taken = taken.withColumn("times", times).groupBy(*named).agg(F.sum("times").alias("times"), F.count("*").alias("sharers")).where("times > 0")
+    rows = keyed.join(taken, _equal(same, "2")).drop(*[f"{c}2" for c in same])
+    alone = rows.where("sharers = 1").select("_row", F.col("times").alias("copies"))
+    many = rows.where("sharers > 1").groupBy(*same, "_row").agg(F.count("*").alias("m"), F.max("times").alias("times"))
+    every = Window.partitionBy(*same)
+    before = F.sum("m").over(every.orderBy("_row").rowsBetween(Window.unboundedPreceding, 0)) - F.col("m")
+    many = many.withColumn("rows", F.sum("m").over(every)).withColumn("before", before)
+    extra = F.greatest(F.lit(0), F.least(F.col("m"), F.col("times") % F.col("rows") - F.col("before")))
+    many = many.select("_row", (F.col("m") * F.floor(F.col("times") / F.col("rows")) + extra).alias("copies"))
+    out = alone.unionByName(many).where("copies > 0")
+    return out.select("_row", F.explode(F.array_repeat(F.lit(1), F.col("copies").cast("int"))).alias("_t")).select("_row.*")
 
 
 def _equal(columns: list[str], mark: str) -> Column:
@@ -176,9 +182,9 @@ def _equal(columns: list[str], mark: str) -> Column:
 
 
 def op7_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The whole documents table mixed with weights 3, 1, 2 to 150 % of its words."""
+    """The whole documents table mixed with weights 3, 1, 2 to 150 % of its words, and the slots of each document."""
     out, _ = mix(common.table(spark, sf_dir, "documents", "doc_id", "source", "text"))
-    return out.select("doc_id", "size", "source_size", "target", "taken")
+    return out.select("doc_id", "size", "source_size", "target", "taken", "first_slot", "n_slots", "slot_sum")
 
 
 ORACLE = r"""
@@ -201,10 +207,34 @@ t AS (
     CAST(w * (3 * alls - 2 * coalesce((SELECT sum(top) FROM p WHERE stops), 0)) AS DOUBLE)
     / CAST(2 * (SELECT sum(w) FROM p WHERE NOT stops) AS DOUBLE) END AS target FROM p),
 l AS (
-  SELECT d.doc_id, d.size, t.source_size, t.target, CAST(floor(t.target) AS BIGINT) AS has,
+  SELECT d.doc_id, d.size, t.source_size, t.target, CAST(floor(t.target) AS BIGINT) AS has, t.si,
          CAST(sum(d.size) OVER (PARTITION BY t.si ORDER BY d.key, d.doc_id, d.size ROWS UNBOUNDED PRECEDING) AS BIGINT) - d.size AS start
-  FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source)
-SELECT doc_id, size, source_size, target,
-       greatest(0, least(start + size, has) - start) + greatest(0, least(start + source_size + size, has) - start - source_size) AS taken
-FROM l
+  FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source),
+z AS (SELECT greatest(16, CAST(ceil(sum(floor(target)) / 1048576.0) AS BIGINT)) AS block FROM t),
+q AS (
+  SELECT si, want, CAST(sum(want) OVER (ORDER BY si) AS BIGINT) AS upto, CAST(sum(want) OVER () AS BIGINT) AS n
+  FROM (SELECT si, CAST(ceil(floor(target) / (SELECT block FROM z)) AS BIGINT) AS want FROM t) WHERE want > 0),
+points AS (
+  SELECT i AS slot, least(((i + 1) * 0.6180339887498949e0 - floor((i + 1) * 0.6180339887498949e0)) * CAST(n AS DOUBLE), n - 0.5e0) AS pos
+  FROM (SELECT max(n) AS n FROM q), LATERAL (SELECT unnest(range(n)) AS i)),
+ranked AS (
+  SELECT slot, si, want, row_number() OVER (PARTITION BY si ORDER BY slot) - 1 AS block
+  FROM points JOIN q ON pos >= upto - want AND pos < upto),
+slots AS (
+  SELECT slot, si, block FROM ranked WHERE block < want
+  UNION ALL
+  SELECT n + q.si, q.si, b
+  FROM q LEFT JOIN (SELECT si, count(*) AS got FROM ranked GROUP BY si) g ON q.si = g.si,
+       LATERAL (SELECT unnest(range(least(coalesce(got, 0), want), want)) AS b)),
+turns AS (
+  SELECT doc_id, si, size, start, start + turn * source_size AS pos, least(start + turn * source_size + size, has) AS upto, (SELECT block FROM z) AS block
+  FROM l, (SELECT unnest([0, 1]) AS turn)),
+cut AS (
+  SELECT doc_id, si, start, b, least(upto, (b + 1) * block) - greatest(pos, b * block) AS words
+  FROM turns, LATERAL (SELECT unnest(range(pos // block, (upto - 1) // block + 1)) AS b) WHERE upto > pos),
+held AS (
+  SELECT c.doc_id, c.si, c.start, CAST(sum(words) AS BIGINT) AS taken, min(slot) AS first_slot, count(slot) AS n_slots, CAST(sum(slot) AS BIGINT) AS slot_sum
+  FROM cut c JOIN slots s ON c.si = s.si AND c.b = s.block GROUP BY ALL)
+SELECT l.doc_id, size, source_size, target, coalesce(taken, 0) AS taken, first_slot, coalesce(n_slots, 0) AS n_slots, coalesce(slot_sum, 0) AS slot_sum
+FROM l LEFT JOIN held h ON size > 0 AND l.doc_id IS NOT DISTINCT FROM h.doc_id AND l.si = h.si AND l.start = h.start
 """
