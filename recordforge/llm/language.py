@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from . import common
 
 UNDETERMINED = "und"
-HIDDEN = 16
+HIDDEN = 12
 #: Bytes of a window, and those at either end that give context only.
 WINDOW, EDGE = 256, 8
 #: Bounds of the training sample: documents of a language, characters of a document.
@@ -31,7 +31,7 @@ SAMPLE_DOCS, SAMPLE_CHARS = 200, 4000
 #: Steps of training, windows of a step and their bytes, greatest rate.
 STEPS, BATCH, PIECE, RATE = 300, 160, 32, 0.012
 #: Windows that run side by side, and bytes of text that a worker takes at once.
-SIDE, AT_ONCE = 1024, 1 << 20
+SIDE, AT_ONCE = 2048, 1 << 20
 _LETTER = re.compile("[A-Za-z]")
 
 
@@ -131,21 +131,23 @@ class BiGru:
         out[:] = self.p["c"][:, None, None]
         full = int((n == width).sum())
         for side, inp, v in (("f", x, self.p["V"][:h]), ("b", _mirrored(x, n), self.p["V"][h:])):
-            w, u = self.p["W" + side], self.p["U" + side]
+            # the gates apart, so that every array is one run of memory
+            w, u = ([np.ascontiguousarray(self.p[k + side][:, i * h : (i + 1) * h]) for i in range(3)] for k in "WU")
             state = np.zeros((len(x), h), np.float32)
             for t in range(width):
                 a = len(x) if t < n[-1] else int((n > t).sum())
-                g, s = w.take(inp[:a, t], axis=0), state[:a]
-                m = s @ u
-                zr = _sigmoid(g[:, : 2 * h] + m[:, : 2 * h])
-                new = m[:, 2 * h :] * zr[:, h:]
-                new += g[:, 2 * h :]
+                byte, s = inp[:a, t], state[:a]
+                z, r, new = (s @ u[i] for i in range(3))
+                z += w[0].take(byte, axis=0)
+                r += w[1].take(byte, axis=0)
+                new *= _sigmoid(r)
+                new += w[2].take(byte, axis=0)
                 new += new
                 new = _sigmoid(new)  # tanh(x) is 2 sigmoid(2x) - 1; exp is the faster function here
                 new += new
                 new -= 1
                 s -= new
-                s *= zr[:, :h]
+                s *= _sigmoid(z)
                 s += new
                 y = v.T @ s.T
                 if side == "f":
