@@ -17,8 +17,8 @@ from . import common
 
 #: Seeds the second half of a fingerprint.
 SALT = "recordforge-fingerprint"
-#: Runs of equal id ranges that a pass in id order is cut into, at most.
-MAX_RANGES = 1024
+#: Ranges of ids that a pass in id order is cut into: so many for each shuffle partition, looked up in two steps.
+RANGES_PER_PARTITION, MAX_RANGES = 6, 1 << 16
 
 _LEAST = -(1 << 63)
 
@@ -42,46 +42,57 @@ def fingerprint(canon: Column) -> Column:
 
 
 def exact_groups(docs: DataFrame) -> DataFrame:
-    """Exact duplicates of ``docs (doc_id, text)``: doc_id, fingerprint, class_id.
+    """Exact duplicates of ``docs (doc_id, text)``: doc_id, fingerprint, class_id, class_size; a row for each row.
 
-    class_id is the smallest doc_id with the same canonical bytes. Counts by fingerprint are
-    summed map-side; only texts of buckets with several rows move, each compared with its
+    class_id is the smallest doc_id with the same canonical bytes, class_size the number of such rows. Counts by
+    fingerprint are summed map-side; only texts of buckets with several rows move, each compared with its
     bucket's first text, and texts that differ in spite of equal digests are grouped by
-    their bytes. Null texts count as empty ones; repeated rows are members like others; an
-    empty table gives no rows.
+    their bytes. Null texts count as empty ones; a null doc_id names a class only where it has no other; repeated rows are
+    members like others; an empty table gives no rows; other columns are not read.
     """
-    rows = docs.select("doc_id", canonical(F.col("text")).alias("canon"))
-    rows = rows.withColumn("fingerprint", fingerprint(F.col("canon")))
-    size = rows.groupBy("fingerprint").agg(F.count("*").alias("n"), F.min("doc_id").alias("first"))
-    size = common.written(size, "fp-sizes")
-    alone = rows.join(size.where("n = 1"), "fingerprint").select("doc_id", "fingerprint", F.col("first").alias("class_id"))
-    many = rows.join(size.where("n > 1").drop("n", "first"), "fingerprint")
-    # the text that stands for a bucket: one row a bucket, found with a partial maximum on each task
+    rows = docs.select("doc_id", canonical(F.col("text")).alias("canon")).withColumn("fingerprint", fingerprint(F.col("canon")))
+    small = common.written(rows.select("doc_id", "fingerprint"), "fp-rows")
+    count = [F.min("doc_id").alias("class_id"), F.count("*").alias("class_size")]
+    out = ["doc_id", "fingerprint", "class_id", "class_size"]
+    size = common.written(small.groupBy("fingerprint").agg(*count), "fp-sizes")
+    alone = small.join(size.where("class_size = 1"), "fingerprint").select(*out)
+    many = rows.join(size.where("class_size > 1").select("fingerprint"), "fingerprint")
+    # the text that stands for a bucket: one row a bucket, found with a partial minimum on each task
     shown = many.groupBy("fingerprint").agg(F.min("canon").alias("shown"))
-    met = many.join(shown, "fingerprint")
-    same = met.where("canon = shown")
-    classes = same.groupBy("fingerprint").agg(F.min("doc_id").alias("class_id"))
-    same = same.select("doc_id", "fingerprint").join(classes, "fingerprint").select("doc_id", "fingerprint", "class_id")
-    differ = met.where("canon <> shown").select("doc_id", "fingerprint", "canon")
-    other = differ.groupBy("fingerprint", "canon").agg(F.min("doc_id").alias("class_id"))
-    differ = differ.join(other, ["fingerprint", "canon"]).select("doc_id", "fingerprint", "class_id")
+    met = many.join(shown, "fingerprint").withColumn("differs", F.when(F.col("canon") != F.col("shown"), F.col("canon")))
+    met = common.written(met.select("doc_id", "fingerprint", "differs"), "fp-met")
+    same, differ = met.where("differs is null"), met.where("differs is not null")
+    same = same.join(same.groupBy("fingerprint").agg(*count), "fingerprint").select(*out)
+    differ = differ.join(differ.groupBy("fingerprint", "differs").agg(*count), ["fingerprint", "differs"]).select(*out)
     return alone.unionByName(same).unionByName(differ)
 
 
+def _place(cuts: list[int], k: Column) -> Column:
+    """How many of the sorted ``cuts`` are at most k: first among every so-many-th of them, then among those between."""
+    if not cuts:
+        return F.lit(0)
+    step = max(1, int(len(cuts) ** 0.5))
+    below = lambda xs: F.size(F.filter(xs, lambda c: c <= k))
+    coarse = below(F.array(*map(F.lit, cuts[::step])))
+    fine = F.array(*[F.array(*map(F.lit, cuts[i + 1 : i + step])).cast("array<bigint>") for i in range(0, len(cuts), step)])
+    return F.when(coarse == 0, 0).otherwise((coarse - 1) * step + 1 + below(F.get(fine, coarse - 1)))
+
+
 def with_next(rows: DataFrame, key: str, ties: list[str], take: list[str]) -> DataFrame:
     """Each row with ``next_<c>`` for c in ``take``: of the row after it by descending ``key``, cyclic.
 
     Not one global sort: the keys' quantiles cut them into ranges, each range is one window
     partition, and the row that follows a range (the head of the range below, or of the
     topmost) is copied into it. Heads are one number a range, at most MAX_RANGES. Null keys come last.
-    Equal keys follow each other in the order of ``ties``.
+    Equal keys follow each other in the order of ``ties``; rows that agree in those too may change places. The only row of
+    a table follows itself; an empty table gives no rows. ``rows`` must not have columns named _k, _at, _p, _copy.
     """
     spark = rows.sparkSession
-    n = min(MAX_RANGES, 6 * int(spark.conf.get("spark.sql.shuffle.partitions")))
+    n = min(MAX_RANGES, RANGES_PER_PARTITION * int(spark.conf.get("spark.sql.shuffle.partitions")))
     k = F.coalesce(F.col(key), F.lit(_LEAST)).cast("long")
     cuts = rows.select(F.percentile_approx(k, [i / n for i in range(1, n)], 20 * n)).first()[0] or []
     cuts = sorted(set(cuts))
-    at = F.size(F.filter(F.array(*map(F.lit, cuts)), lambda c: c <= k)) if cuts else F.lit(0)
+    at = _place(cuts, k)
     heads = rows.groupBy(at.alias("b")).agg(F.max(k).alias("head")).orderBy(F.col("b").desc()).collect()
     rows = rows.withColumn("_k", k).withColumn("_at", at)
     if heads:
@@ -103,9 +114,14 @@ def likeness(fp_a: Column, fp_b: Column, text_a: Column, text_b: Column) -> Colu
 
 
 def op1_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Fingerprints of all documents and of their half-edited texts."""
+    """Fingerprints of all documents and of their half-edited texts, and the class of exact copies each belongs to.
+
+    A null text is an empty one. Of repeated rows each has its row; copies of one id share a class; an empty table gives none.
+    """
     docs = common.table(spark, sf_dir, "documents", "doc_id", "text")
     docs = docs.withColumn("text", F.coalesce("text", F.lit("")))
+    classes = exact_groups(docs).groupBy("doc_id", "fingerprint").agg(F.min("class_id").alias("class_id"), F.max("class_size").alias("class_size"))
+    classes = classes.withColumnsRenamed({"doc_id": "id2", "fingerprint": "fingerprint2"})
     docs = docs.withColumn("fingerprint", fingerprint(canonical(F.col("text")))).withColumn("_h", F.xxhash64("text"))
     both = with_next(docs, "doc_id", ["_h", "text"], ["text", "fingerprint"])
     n = F.char_length("text")
@@ -113,7 +129,7 @@ def op1_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     edited = F.concat(F.substring("text", F.lit(1), n - cut), F.substring("next_text", F.lit(1), cut))
     both = both.withColumn("n_chars", n.cast("long")).withColumn("edited", edited)
     both = both.withColumn("edited_fingerprint", fingerprint(canonical(F.col("edited"))))
-    return both.select(
+    both = both.select(
         "doc_id",
         "n_chars",
         F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
@@ -122,3 +138,5 @@ def op1_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
         likeness(F.col("fingerprint"), F.col("edited_fingerprint"), F.col("text"), F.col("edited")).alias("near_edited"),
         likeness(F.col("fingerprint"), F.col("next_fingerprint"), F.col("text"), F.col("next_text")).alias("near_next"),
     )
+    named = F.col("doc_id").eqNullSafe(F.col("id2")) & (F.col("fingerprint") == F.col("fingerprint2"))
+    return both.join(classes, named).drop("id2", "fingerprint2")

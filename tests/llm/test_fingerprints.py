@@ -1,4 +1,6 @@
+import bisect
 import hashlib
+import random
 import unicodedata
 
 import xxhash
@@ -51,6 +53,21 @@ def test_groups(spark):
     assert fp.exact_groups(frame(spark, ROWS).limit(0)).count() == 0
 
 
+def test_equal_digests_of_different_texts_are_told_apart(spark, monkeypatch):
+    monkeypatch.setattr(fp, "fingerprint", lambda canon: F.substring(canon, 1, 1))
+    rows = [(1, "abc"), (2, "abd"), (3, "ABC"), (4, "abd"), (5, "abe"), (6, "b"), (None, "abe")]
+    got = {(r.doc_id, r.class_id, r.class_size) for r in fp.exact_groups(frame(spark, rows)).collect()}
+    assert got == {(1, 1, 2), (3, 1, 2), (2, 2, 2), (4, 2, 2), (5, 5, 2), (None, 5, 2), (6, 6, 1)}
+
+
+def test_place_equals_bisection(spark):
+    rng = random.Random(1)
+    for size in (0, 1, 2, 7, 100, 331):
+        cuts = sorted(rng.sample(range(1000), size))
+        df = spark.createDataFrame([(k,) for k in range(0, 1000, 7)], "k long")
+        assert all(r.at == bisect.bisect_right(cuts, r.k) for r in df.select("k", fp._place(cuts, F.col("k")).alias("at")).collect())
+
+
 def run(spark, tmp_path, rows):
     path = str(tmp_path / "in")
     frame(spark, rows).repartition(3).write.mode("overwrite").parquet(path + "/documents.parquet")
@@ -64,7 +81,9 @@ def brute(rows):
         t, nxt = t or "", order[(i + 1) % len(order)][1] or ""
         cut = len(t) // 2
         e = t[: len(t) - cut] + nxt[:cut]
-        out.append((d, len(t), hashlib.sha256(e.encode()).hexdigest(), digest(t), digest(e), float(canon(t) == canon(e)), float(canon(t) == canon(nxt))))
+        mates = [x for x, y in rows if canon(y) == canon(t)]
+        known = [x for x in mates if x is not None]
+        out.append((d, len(t), hashlib.sha256(e.encode()).hexdigest(), digest(t), digest(e), float(canon(t) == canon(e)), float(canon(t) == canon(nxt)), min(known) if known else None, len(mates)))
     return out
 
 
