@@ -3,7 +3,8 @@
 Paths become branches of up to DEPTH segments. Segments that vary are generalised: digits by
 form, and where a node has more than FANOUT different children, those with a small share of its URLs
 become a wildcard. Sibling branches with the same rest whose share of bad labels does not differ
-significantly from that of the others are merged. A template is blocked where its share of bad
+significantly from that of the others are merged, if they and the others have EVIDENCE labels each: a
+branch with few labels tells nothing, so it stays by itself and its host's prior speaks for it. A template is blocked where its share of bad
 labels, smoothed towards its host's and that towards the whole corpus', reaches BLOCK.
 
 All is counted with partial sums over (host, template); every later step works on that table.
@@ -26,6 +27,8 @@ FANOUT = 30
 SHARE = 0.05
 #: Two-sided 5 % bound of the normal distribution.
 Z = 1.96
+#: Labels that a branch, and the others together, must have to be compared.
+EVIDENCE = 8
 #: Labels that a prior weighs as much as.
 PRIOR = 10.0
 BLOCK = 0.5
@@ -91,7 +94,7 @@ def templates(urls: DataFrame) -> DataFrame:
         p = (F.col("ab") + 1.0) / (F.col("al") + 2.0)
         gap = F.abs((F.col("b") + p) / (F.col("l") + 1.0) - (F.col("ob") + p) / (F.col("ol") + 1.0))
         like = gap <= Z * F.sqrt(p * (1.0 - p) * (1.0 / (F.col("l") + 1.0) + 1.0 / (F.col("ol") + 1.0)))
-        pair = common.written(pair.where(like).select(*rest, name, F.lit(True).alias("like")), "url-like")
+        pair = common.written(pair.where(like & (F.col("l") >= EVIDENCE) & (F.col("ol") >= EVIDENCE)).select(*rest, name, F.lit(True).alias("like")), "url-like")
         if not pair.isEmpty():
             tree = tree.join(pair, [*rest, name], "left").withColumn(name, F.when(F.col("like"), "+").otherwise(F.col(name))).drop("like")
             tree = common.written(tree, "url-tree")
@@ -126,11 +129,11 @@ def judge(pages: DataFrame, labels: DataFrame, rules=RULES) -> DataFrame:
 
 
 def op5_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All pages judged by the rules, else by their templates' purity."""
+    """All pages judged by the rules, else by their templates' purity; both are in the result."""
     labels = common.table(spark, sf_dir, "labels", "doc_id", "quality", "toxic")
     bad = F.when((F.col("quality") == 0) | (F.col("toxic") == 1), 1).when(F.col("quality").isNotNull() | F.col("toxic").isNotNull(), 0)
     out = judge(common.table(spark, sf_dir, "pages", "page_id", "url"), labels.select("doc_id", bad.cast("long").alias("bad")))
-    return out.select("page_id", "host", "path", "rule", "verdict")
+    return out.select("page_id", "host", "path", "rule", "verdict", "template", F.round("purity", 9).alias("purity"))
 
 
 def _oracle() -> str:
@@ -169,16 +172,17 @@ def _oracle() -> str:
         p = "((ab + 1.0) / (al + 2.0))"
         steps.append(
             f"k{i - 1} AS (SELECT {rest}, {cols}, CASE WHEN {m} <> '' AND kinds > 1 AND abs((bb + {p}) / (bl + 1.0) - (ab - bb + {p}) / (al - bl + 1.0)) <= "
-            f"{Z} * sqrt({p} * (1.0 - {p}) * (1.0 / (bl + 1.0) + 1.0 / (al - bl + 1.0))) THEN '+' ELSE {m} END AS {m} FROM ("
+            f"{Z} * sqrt({p} * (1.0 - {p}) * (1.0 / (bl + 1.0) + 1.0 / (al - bl + 1.0))) AND bl >= {EVIDENCE} AND al - bl >= {EVIDENCE} THEN '+' ELSE {m} END AS {m} FROM ("
             f"SELECT *, sum(l) OVER (PARTITION BY {rest}, {m}) AS bl, sum(b) OVER (PARTITION BY {rest}, {m}) AS bb, "
             f"sum(CASE WHEN {m} <> '' THEN l END) OVER (PARTITION BY {rest}) AS al, sum(CASE WHEN {m} <> '' THEN b END) OVER (PARTITION BY {rest}) AS ab, "
             f"count(DISTINCT nullif({m}, '')) OVER (PARTITION BY {rest}) AS kinds FROM (SELECT host, {', '.join(ts)}, {', '.join(ms)}, CAST(l AS DOUBLE) AS l, CAST(b AS DOUBLE) AS b FROM k{i})))"
         )
+    shape = "k0.host || " + " || ".join(f"CASE WHEN k0.{m} <> '' THEN '/' || k0.{m} ELSE '' END" for m in ms)
     steps += [
         "e AS (SELECT (sum(b) + 1.0) / (sum(l) + 2.0) AS everywhere FROM k0)",
         f"h AS (SELECT host, (sum(b) + {PRIOR} * any_value(everywhere)) / (sum(l) + {PRIOR}) AS prior FROM k0, e GROUP BY host)",
         f"q AS (SELECT k0.host, {', '.join(ms)}, (sum(b) + {PRIOR} * any_value(prior)) / (sum(l) + {PRIOR}) AS purity FROM k0 JOIN h ON k0.host = h.host GROUP BY ALL)",
-        f"z AS (SELECT DISTINCT g.host, {', '.join('g.' + x for x in _SEGMENTS)}, purity FROM g{DEPTH} g JOIN k0 ON g.host = k0.host AND "
+        f"z AS (SELECT DISTINCT g.host, {', '.join('g.' + x for x in _SEGMENTS)}, {shape} AS template, purity FROM g{DEPTH} g JOIN k0 ON g.host = k0.host AND "
         + " AND ".join(f"g.{t} = k0.{t}" for t in ts)
         + " JOIN q ON q.host = k0.host AND "
         + " AND ".join(f"q.{m} = k0.{m}" for m in ms)
@@ -189,7 +193,7 @@ def _oracle() -> str:
     rule = " ".join(f"WHEN {fits(h, p)} THEN '{h}{p}'" for _, h, p in ordered)
     verdict = " ".join(f"WHEN {fits(h, p)} THEN '{v}'" for v, h, p in ordered)
     return (
-        "WITH " + ",\n".join(steps) + f"\nSELECT page_id, s.host, path, CASE {rule} END AS rule, CASE {verdict} WHEN purity >= {BLOCK} THEN 'block' ELSE 'allow' END AS verdict\n"
+        "WITH " + ",\n".join(steps) + f"\nSELECT page_id, s.host, path, CASE {rule} END AS rule, CASE {verdict} WHEN purity >= {BLOCK} THEN 'block' ELSE 'allow' END AS verdict, template, round(purity, 9) AS purity\n"
         "FROM s JOIN z ON s.host = z.host AND " + " AND ".join(f"s.{x} = z.{x}" for x in _SEGMENTS)
     )
 

@@ -77,7 +77,7 @@ def test_query_equals_sql(spark, data):
     con = duckdb.connect()
     for t in ("pages", "labels"):
         con.execute(f"create view {t} as select * from '{data}/{t}.parquet/*.parquet'")
-    want = con.execute(f"select page_id, host, path, rule, verdict from ({urls.ORACLE})").fetchall()
+    want = con.execute(f"select page_id, host, path, rule, verdict, template, purity from ({urls.ORACLE})").fetchall()
     assert sorted(map(str, want)) == sorted(str(tuple(r)) for r in urls.op5_urls(spark, data).collect())
 
 
@@ -85,3 +85,11 @@ def test_empty_tables(spark, tmp_path):
     spark.createDataFrame([], "page_id long, url string").write.parquet(f"{tmp_path}/pages.parquet")
     spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
     assert urls.op5_urls(spark, str(tmp_path)).collect() == []
+
+
+def test_branches_with_few_labels_stay_apart(spark):
+    pages = [(i, f"http://h.example.com/{'abc'[i % 3]}/{i}") for i in range(60)] + [(100 + i, f"http://h.example.com/rare/{100 + i}") for i in range(4)]
+    labels = [(i, int(i % 7 == 0)) for i in range(60)] + [(100, 1), (101, 1)]
+    got = urls.judge(spark.createDataFrame(pages, "page_id long, url string"), spark.createDataFrame(labels, "doc_id long, bad long"))
+    shapes = {r.template for r in got.collect()}
+    assert "h.example.com/rare/{n}" in shapes and "h.example.com/+/{n}" in shapes
