@@ -35,8 +35,8 @@ def foreign(fragments: DataFrame, records: DataFrame) -> DataFrame:
     return own.join(seen, "frag", "left").select("frag", reason.alias("reason")).where("reason is not null")
 
 
-def clip(items: DataFrame) -> DataFrame:
-    """``items (response, q_no, solution)``: a solution ends where a header of a sibling of the same response begins; a leading own header goes."""
+def clip(items: DataFrame, *keep: str) -> DataFrame:
+    """``items (response, q_no, solution, and those to keep)``: a solution ends where a header of a sibling of the same response begins; a leading own header goes."""
     at = F.regexp_instr(X.text("solution"), F.lit(P.SOLUTION_TO_QUESTION))
     body = F.when(at.between(1, 3), F.regexp_replace("solution", r"(?i)^\W*Solution\s+to\s+Question\s+\d{1,3}\s*:?\s*", "")).otherwise(F.col("solution"))
     i = items.withColumn("body", F.when(~blank(body), body).otherwise(F.col("solution")))
@@ -45,16 +45,33 @@ def clip(items: DataFrame) -> DataFrame:
     there = items.select("response", F.col("q_no").alias("n")).distinct().withColumn("there", F.lit(True))
     head = X.strip(F.substring("body", F.lit(1), F.col("cut") - 1))
     out = i.join(there, ["response", "n"], "left")
-    return out.select("response", "q_no", F.when(F.col("there") & (F.col("n") != F.col("q_no")) & (head != ""), head).otherwise(F.col("body")).alias("solution"))
+    return out.select("response", "q_no", *keep, F.when(F.col("there") & (F.col("n") != F.col("q_no")) & (head != ""), head).otherwise(F.col("body")).alias("solution"))
 
 
-def cross_search(fragments: DataFrame, records: DataFrame, head: int = 120, n: int = 5) -> DataFrame:
-    """First record (by q_no) whose solution holds a fragment's normalised head: frag, q_no. Candidates share a run of n words."""
-    f = fragments.select("frag", F.substring(X.norm(F.col("text")), 1, head).alias("head"))
+def cross_search(fragments: DataFrame, records: DataFrame, head: int = 120, n: int = 5, gram: int = 4) -> DataFrame:
+    """First record (by q_no) whose normalised solution holds a fragment's normalised head: frag, q_no. Blank heads find nothing.
+
+    A solution that holds a head holds all its runs of n whole words inside, and all its runs of ``gram`` characters. So
+    heads with enough words meet solutions on one run of words, the first that is not cut by either end;
+    others on their rarest run of characters, or as a whole if they are shorter than that. Each meets on one key, and the text confirms.
+    """
+    f = fragments.select("frag", F.substring(X.norm(F.col("text")), 1, head).alias("head")).where("head <> ''")
     r = records.select("q_no", X.norm(F.col("solution")).alias("body"))
-    key = lambda df, c, k: df.select(k, F.explode(X.shingles(F.col(c), n)).alias("s"))
-    pairs = key(f, "head", "frag").join(key(r, "body", "q_no"), "s").select("frag", "q_no").distinct()
-    hit = pairs.join(f, "frag").join(r, "q_no").where(F.contains("body", F.col("head")))
+    words = X.tokens(F.col("head"))
+    inner = F.slice(words, F.lit(2), F.lit(n))  # the first and last word may be parts of longer ones
+    f = f.withColumn("run", F.when(F.size(words) >= n + 2, F.array_join(inner, " ")))
+    by_words = f.where("run is not null").select("frag", "head", F.col("run").alias("s"))
+    runs = r.select("q_no", F.explode(X.shingles(F.col("body"), n)).alias("s"))
+    pairs = by_words.join(runs, "s").select("frag", "head", "q_no")
+    pieces = lambda c, k: F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(F.lit(1), F.char_length(c) - k + 1)), lambda i: F.substring(c, i, F.lit(k))))
+    few = f.where("run is null")
+    for k, part in ((gram, few.where(F.char_length("head") >= gram)), *((i, few.where(F.char_length("head") == i)) for i in range(1, gram))):
+        asked = part.select("frag", "head", F.explode(pieces(F.col("head"), k)).alias("s"))
+        held = r.select("q_no", F.explode(pieces(F.col("body"), k)).alias("s")).join(asked.select("s").distinct(), "s", "left_semi")
+        count = held.groupBy("s").agg(F.count("*").alias("c"))
+        rarest = asked.join(count, "s", "left").groupBy("frag", "head").agg(F.min(F.struct(F.coalesce("c", F.lit(0)).alias("c"), "s")).alias("b")).select("frag", "head", F.col("b.s").alias("s"))
+        pairs = pairs.unionByName(rarest.join(held, "s").select("frag", "head", "q_no"))
+    hit = pairs.join(r, "q_no").where(F.contains("body", F.col("head")))
     return hit.groupBy("frag").agg(F.min("q_no").alias("q_no"))
 
 

@@ -135,11 +135,11 @@ def apply_patches(rows: DataFrame, patches: DataFrame, gate: DataFrame) -> DataF
     """All patches of a chapter or none: chapter, id, value, change.
 
     rows: chapter, id, value. patches: chapter, id, action (delete, fill, insert), value. gate: chapter, ok. A fill takes only blank
-    values, an insert only ids that are neither there nor deleted; nothing deleted comes back.
+    values (of several fills the least), an insert only ids that are neither there nor deleted; nothing deleted comes back.
     """
     p = patches.join(gate.where("ok"), "chapter").select("chapter", "id", "action", F.col("value").alias("new"))
     gone = p.where("action = 'delete'").select("chapter", "id")
-    fill = p.where("action = 'fill'").groupBy("chapter", "id").agg(F.first("new").alias("new"))
+    fill = p.where("action = 'fill'").groupBy("chapter", "id").agg(F.min("new").alias("new"))
     kept = rows.join(gone, ["chapter", "id"], "left_anti").join(fill, ["chapter", "id"], "left")
     use = blank("value") & F.col("new").isNotNull()
     kept = kept.select("chapter", "id", F.when(use, F.col("new")).otherwise(F.col("value")).alias("value"), F.when(use, "filled").otherwise("kept").alias("change"))
@@ -148,8 +148,8 @@ def apply_patches(rows: DataFrame, patches: DataFrame, gate: DataFrame) -> DataF
 
 
 def carry_owner(candidates: DataFrame) -> DataFrame:
-    """``candidates (chapter, kind, q_no, ending_page)``: the one that ended last; of equal ones the question."""
-    best = F.max_by(F.struct("kind", "q_no"), F.struct("ending_page", (F.col("kind") == "question").cast("int")))
+    """``candidates (chapter, kind, q_no, ending_page)``: the one that ended last; of equal ones the question, then the greatest number."""
+    best = F.max_by(F.struct("kind", "q_no"), F.struct("ending_page", (F.col("kind") == "question").cast("int"), "q_no"))
     return candidates.groupBy("chapter").agg(best.alias("b")).select("chapter", "b.kind", "b.q_no")
 
 

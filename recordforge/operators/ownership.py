@@ -155,6 +155,9 @@ def adjudicate(score: Column, found: Column, truncated: Column, page: Column, du
 
 
 def patch_options(options: Column, fix: Column) -> Column:
-    """Fill missing or blank options from a map, never overwrite."""
+    """Fill missing or blank options from a map, never overwrite. The map's letters are trimmed and upper-cased; of equal ones the first counts."""
     empty = lambda x: F.coalesce(F.trim(x), F.lit("")) == ""
-    return F.map_filter(F.map_zip_with(options, fix, lambda k, a, b: F.when(empty(a) & ~empty(b), b).otherwise(a)), lambda k, v: v.isNotNull())
+    entries = F.transform(F.map_entries(fix), lambda e: F.struct(F.upper(F.trim(e["key"])).alias("key"), e["value"].alias("value")))
+    letters = F.array_distinct(F.transform(entries, lambda e: e["key"]))
+    named = F.map_from_arrays(letters, F.transform(letters, lambda k: F.get(F.filter(entries, lambda e: e["key"] == k), F.lit(0))["value"]))
+    return F.map_filter(F.map_zip_with(options, named, lambda k, a, b: F.when(empty(a) & ~empty(b), b).otherwise(a)), lambda k, v: v.isNotNull())

@@ -27,6 +27,15 @@ def plain(v):
     return "[" + ",".join(map(plain, v)) + "]" if isinstance(v, (list, tuple)) else str(v)
 
 
+@pytest.mark.parametrize("name", sorted(registry.CASES))
+def test_case_equals_its_statement(spark, duck, name):
+    fn, sql = registry.CASES[name]
+    df = fn(spark, DIR)
+    cols = sorted(df.columns)
+    want = duck.execute(f"select {', '.join(cols)} from ({sql})").fetchall()
+    assert sorted([plain(r[c]) for c in cols] for r in df.collect()) == sorted([plain(v) for v in r] for r in want)
+
+
 @pytest.mark.parametrize("name", sorted(registry.QUERIES))
 def test_equals_sql(spark, duck, name):
     df = registry.QUERIES[name](spark, DIR)
