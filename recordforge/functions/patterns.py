@@ -67,6 +67,10 @@ FLAG_FILES = (
     "export_gate.jsonl", "export_gate_advisory.jsonl", "integrity_flags.jsonl", "orphans.jsonl",
     "still_incomplete_after_retry.jsonl", "stem_conflicts.jsonl", "unmatched_images.jsonl", "unresolved_images.jsonl",
 )
+SPLIT_FILES = (
+    "questions.jsonl", "answers.jsonl", "solutions.jsonl", "unresolved_qids.jsonl", "orphans.jsonl", "chapter_completeness.json", "image_manifest.jsonl",
+)
+STATUSES = ("COMPLETE", "INCOMPLETE")
 CORE_FILES = (
     "questions.jsonl", "image_ownership.jsonl", "page_ledger.jsonl", "chapters.json", "human_edit_ledger.jsonl",
     "review_decisions.jsonl", "ai_auto_resolved.jsonl", "verify_counter.json",

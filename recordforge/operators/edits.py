@@ -63,11 +63,17 @@ def cross_search(fragments: DataFrame, records: DataFrame, head: int = 120, n: i
     by_words = f.where("run is not null").select("frag", "head", F.col("run").alias("s"))
     runs = r.select("q_no", F.explode(X.shingles(F.col("body"), n)).alias("s"))
     pairs = by_words.join(runs, "s").select("frag", "head", "q_no")
-    pieces = lambda c, k: F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(F.lit(1), F.char_length(c) - k + 1)), lambda i: F.substring(c, i, F.lit(k))))
-    few = f.where("run is null")
-    for k, part in ((gram, few.where(F.char_length("head") >= gram)), *((i, few.where(F.char_length("head") == i)) for i in range(1, gram))):
-        asked = part.select("frag", "head", F.explode(pieces(F.col("head"), k)).alias("s"))
-        held = r.select("q_no", F.explode(pieces(F.col("body"), k)).alias("s")).join(asked.select("s").distinct(), "s", "left_semi")
+
+    def pieces(c: Column, k: Column) -> Column:
+        """Distinct runs of k characters; cut from the array of characters, as places in a string are not found at once."""
+        return X.let(F.split(c, ""), lambda x: F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(F.lit(1), F.size(x) - k + 1)), lambda i: F.array_join(F.slice(x, i, k), ""))))
+
+    few = f.where("run is null").withColumn("k", F.least(F.lit(gram), F.char_length("head")))
+    lengths = sorted(x.k for x in few.select("k").distinct().collect())  # at most ``gram`` numbers
+    if lengths:
+        asked = few.select("frag", "head", F.explode(pieces(F.col("head"), F.col("k"))).alias("s"))
+        every = F.flatten(F.array(*[pieces(F.col("body"), F.lit(k)) for k in lengths]))
+        held = r.select("q_no", F.explode(every).alias("s")).join(asked.select("s").distinct(), "s", "left_semi")
         count = held.groupBy("s").agg(F.count("*").alias("c"))
         rarest = asked.join(count, "s", "left").groupBy("frag", "head").agg(F.min(F.struct(F.coalesce("c", F.lit(0)).alias("c"), "s")).alias("b")).select("frag", "head", F.col("b.s").alias("s"))
         pairs = pairs.unionByName(rarest.join(held, "s").select("frag", "head", "q_no"))

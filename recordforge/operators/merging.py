@@ -22,8 +22,8 @@ def merge(items: DataFrame, known: DataFrame | None = None, fill_only: bool = Fa
     """Merge ``items (chapter, q_no, seq, pass, stem, answer, solution)`` by chapter and number: (records, skipped).
 
     Only the Q pass sets a stem; a contaminated stem fills nothing. Of several valid stems the one that agrees best with the
-    record's solutions wins, the first of equal ones. The first answer stays; another one is a conflict. A longer solution
-    replaces one that it contains or, unless ``fill_only``, a shorter one. Items without a number, or of
+    record's solutions wins, the first of equal ones. The first answer stays; another one is a conflict. The last solution
+    wins; with ``fill_only`` the first does, unless a later one contains it and more. Items without a number, or of
     numbers that ``known (chapter, q_no)`` lacks, are skipped with a reason.
     """
     keyed = items.where("q_no is not null")
@@ -40,12 +40,11 @@ def merge(items: DataFrame, known: DataFrame | None = None, fill_only: bool = Fa
         F.array_sort(F.collect_list(F.when(~blank("solution"), F.struct("seq", "solution")))).alias("solutions"),
     )
 
-    def better(acc: Column, x: Column) -> Column:
-        longer = F.char_length(x["solution"]) > F.char_length(acc)
-        inside = F.contains(X.norm(x["solution"]), X.norm(acc))
-        return F.when(acc == "", x["solution"]).when(longer & (inside if fill_only else F.lit(True)), x["solution"]).otherwise(acc)
+    def longer(acc: Column, x: Column) -> Column:
+        more = (F.char_length(x["solution"]) > F.char_length(acc)) & F.contains(X.norm(x["solution"]), X.norm(acc))
+        return F.when((acc == "") | more, x["solution"]).otherwise(acc)
 
-    solution = F.aggregate("solutions", F.lit(""), better)
+    solution = F.aggregate("solutions", F.lit(""), longer) if fill_only else F.coalesce(F.get("solutions", F.size("solutions") - 1)["solution"], F.lit(""))
     whole = whole.withColumn("solution", F.nullif(solution, F.lit("")))
     valid = F.filter("stems", lambda s: X.contamination(s["stem"], F.col("solution")).isNull())
     scored = F.transform(valid, lambda s: F.struct((-X.coherence(s["stem"], F.coalesce("solution", F.lit("")))).alias("c"), s["seq"].alias("seq"), s["stem"].alias("stem")))

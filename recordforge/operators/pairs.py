@@ -6,6 +6,7 @@ shingle; only pairs with enough in common reach the exact score.
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 from difflib import SequenceMatcher
 
@@ -30,27 +31,59 @@ def _texts(pairs: DataFrame, docs: DataFrame, column: str) -> DataFrame:
     return pairs.join(side("a"), "a").join(side("b"), "b")
 
 
-def near_duplicates(docs: DataFrame, shingle: int = 3) -> DataFrame:
+#: Characters of a segment, and of the cells of places in which segments are looked for.
+SEGMENT, CELL = 8, 64
+
+
+def near_duplicates(docs: DataFrame) -> DataFrame:
     """Near-duplicate stems of ``docs (chapter, id, text)``: a, b, ratio (3 digits).
 
-    Candidates share a shingle of the compared prefix; both texts have the least length, the
-    length ratio is bounded, and the sequence matcher's ratio of the prefixes (with its junk
-    heuristic, as is) decides. Equal pairs of normalised texts are candidates like others.
+    Both texts have the least length, the length ratio is bounded, and the sequence matcher's ratio of the prefixes
+    (with its junk heuristic, as is) decides. Equal normalised texts of a chapter are a class: each of its members is
+    paired with the class's smallest id (ratio 1), and only that id is paired with other classes.
+
+    No pair is lost. A ratio of r leaves at most (1 - r)(m + n) characters of prefixes of m and n unmatched, so of one
+    segment more than that, cut from the one prefix, some stand unharmed in the other, moved by no more places than there are
+    unmatched characters. With the bounds here a segment has SEGMENT characters and more. Segments meet the
+    other prefixes' runs of SEGMENT characters on an equi-join with the cell of places as a key.
     """
     d = docs.select("chapter", "id", X.norm(F.col("text")).alias("text")).withColumn("len", F.char_length("text")).where(F.col("len") >= P.DUP_MIN_LEN)
-    head = d.select("chapter", "id", F.substring("text", 1, P.DUP_PREFIX).alias("text"))
-    pairs = shared_shingles(head, shingle, 1).select("a", "b")
-    lens = lambda k: d.select(F.col("id").alias(k), F.col("len").alias(f"len_{k}"))
-    pairs = pairs.join(lens("a"), "a").join(lens("b"), "b")
-    pairs = pairs.where(F.greatest("len_a", "len_b") <= F.least("len_a", "len_b") * P.DUP_LEN_RATIO).drop("len_a", "len_b")
+    d = d.withColumn("k", F.sha2("text", 256))
+    reps = d.groupBy("chapter", "k").agg(F.min("id").alias("rep"))
+    copies = d.join(reps, ["chapter", "k"]).where("id <> rep").select(F.col("rep").alias("a"), F.col("id").alias("b"), F.lit(1.0).alias("ratio"))
+    d = d.join(reps, ["chapter", "k"], "left_semi").join(reps.select("chapter", "k", "rep"), ["chapter", "k"]).where("id = rep")
+    head = d.select("chapter", "id", "len", F.substring("text", 1, P.DUP_PREFIX).alias("text"))
+    n = F.char_length("text")
+    # unmatched at most: the other prefix is shorter than this one by its share, or as long
+    most = F.floor((1 - P.DUP_RATIO) * (n + F.least(F.lit(P.DUP_PREFIX), F.floor(n * (2 - P.DUP_RATIO) / P.DUP_RATIO))) + 1e-9).cast("int")
+    cut = F.transform(F.sequence(F.lit(0), most), lambda i: F.floor(i * n / (most + 1)).cast("int"))
+    seg = head.select("chapter", "id", "len", F.explode(cut).alias("at"), "text", most.alias("most"))
+    seg = seg.select("chapter", F.col("id").alias("x"), F.col("len").alias("len_x"), "at", "most", F.xxhash64(F.substring("text", F.col("at") + 1, F.lit(SEGMENT))).alias("h"))
+    cells = F.sequence(F.floor(F.greatest(F.lit(0), F.col("at") - F.col("most")) / CELL), F.floor((F.col("at") + F.col("most")) / CELL))
+    seg = seg.withColumn("cell", F.explode(cells))
+    runs = head.select("chapter", F.col("id").alias("y"), F.col("len").alias("len_y"), F.explode(F.sequence(F.lit(0), n - SEGMENT)).alias("place"), "text")
+    runs = runs.select("chapter", "y", "len_y", "place", F.floor(F.col("place") / CELL).alias("cell"), F.xxhash64(F.substring("text", F.col("place") + 1, F.lit(SEGMENT))).alias("h"))
+    near = (F.abs(F.col("place") - F.col("at")) <= F.col("most")) & (F.col("x") != F.col("y"))
+    near = near & (F.greatest("len_x", "len_y") <= F.least("len_x", "len_y") * P.DUP_LEN_RATIO)
+    met = seg.join(runs, ["chapter", "cell", "h"]).where(near)
+    pairs = met.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
 
     def ratio(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            r = [SequenceMatcher(None, x, y).ratio() for x, y in zip(b["text_a"], b["text_b"])]
+            r = []
+            for x, y in zip(b["text_a"], b["text_b"]):
+                m = SequenceMatcher(None, x, y)
+                # an upper bound first: characters in common, whatever their order
+                r.append(m.ratio() if _bound(x, y) >= P.DUP_RATIO else 0.0)
             yield pd.DataFrame({"a": b["a"], "b": b["b"], "ratio": r})
 
-    scored = _texts(pairs, head, "text").mapInPandas(ratio, "a long, b long, ratio double")
-    return scored.where(F.col("ratio") >= P.DUP_RATIO).withColumn("ratio", F.round("ratio", 3))
+    scored = _texts(pairs, head, "text").mapInPandas(ratio, "a long, b long, ratio double").where(F.col("ratio") >= P.DUP_RATIO)
+    return scored.withColumn("ratio", F.round("ratio", 3)).unionByName(copies)
+
+
+def _bound(x: str, y: str) -> float:
+    a, b = Counter(x), Counter(y)
+    return 2.0 * sum((a & b).values()) / max(1, len(x) + len(y))
 
 
 def shared_segments(docs: DataFrame) -> DataFrame:

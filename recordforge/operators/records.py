@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from recordforge.functions import patterns as P
-from recordforge.functions.text import blank
+from recordforge.functions.text import blank, contamination
 
 
 def numbering_gaps(rows: DataFrame, by: str = "chapter", number: str = "q_no") -> DataFrame:
@@ -170,27 +170,42 @@ def completeness(questions: DataFrame, answers: DataFrame, solutions: DataFrame)
     return every.groupBy("chapter").agg(*aggs)
 
 
-def rubric(rollup: DataFrame) -> DataFrame:
-    """Checks of a completeness roll-up: chapter, failed (names), passed."""
+def rubric(rollup: DataFrame, questions: DataFrame, answers: DataFrame, solutions: DataFrame) -> DataFrame:
+    """The seven checks of a split chapter: chapter, failed (names, in order), passed.
+
+    rollup: chapter, files (names that are there), grade_counts (map), question_records, pending (anchors not wired yet),
+    statuses (that occur), unresolved (numbers). The three tables (chapter, q_id) must not hold an id that
+    the two others lack.
+    """
+    mark = lambda df, bit: df.select("chapter", "q_id", F.lit(bit).alias("t"))
+    every = mark(questions, 1).unionByName(mark(answers, 2)).unionByName(mark(solutions, 4))
+    lone = every.groupBy("chapter", "q_id").agg(F.bit_or("t").alias("t")).where(F.col("t").isin(1, 2, 4)).select("chapter").distinct().withColumn("lone", F.lit(True))
+    j = rollup.join(lone, "chapter", "left")
+    total = F.aggregate(F.map_values("grade_counts"), F.lit(0).cast("long"), lambda acc, n: acc + n)
+    n = F.col("unresolved")
     checks = {
-        "records_present": F.col("question_records") > 0,
-        "same_answer_count": F.col("question_records") == F.col("answer_records"),
-        "same_solution_count": F.col("question_records") == F.col("solution_records"),
-        "questions_complete": F.col("question_incomplete") == 0,
-        "answers_complete": F.col("answer_incomplete") == 0,
-        "solutions_complete": F.col("solution_incomplete") == 0,
+        "files_exist": F.size(F.array_except(F.array(*map(F.lit, P.SPLIT_FILES)), "files")) == 0,
+        "grade_values": F.size(F.array_except(F.map_keys("grade_counts"), F.array(*map(F.lit, P.GRADES)))) == 0,
+        "grade_sum": total == F.col("question_records"),
+        "phase2_pending": F.size("pending") == 0,
+        "extraction_status": F.size(F.array_except("statuses", F.array(*map(F.lit, P.STATUSES)))) == 0,
+        "qid_set_consistency": F.col("lone").isNull(),
+        "unresolved_qids": (n == F.array_sort(n)) & (F.size(F.array_distinct(n)) == F.size(n)),
     }
-    failed = F.array_compact(F.array(*[F.when(~ok, name) for name, ok in checks.items()]))
-    return rollup.select("chapter", F.array_join(failed, ",").alias("failed"), (F.size(failed) == 0).alias("passed"))
+    failed = F.array_compact(F.array(*[F.when(~F.coalesce(ok, F.lit(False)), name) for name, ok in checks.items()]))
+    return j.select("chapter", F.array_join(failed, ",").alias("failed"), (F.size(failed) == 0).alias("passed"))
 
 
 def incomplete(rows: DataFrame, gate: float = P.SOLUTION_GATE) -> DataFrame:
     """Missing fields by record; a solution gap counts only where enough of the chapter has solutions or a header was printed.
 
-    rows: chapter, q_no, stem, answer, solution, printed. Rows: chapter, q_no, missing.
+    rows: chapter, q_no, stem, options (map; A to D must be filled), answer, solution, printed. A stem that is really solution prose is missing, too.
+    Rows: chapter, q_no, missing.
     """
     share = rows.groupBy("chapter").agg(F.avg(F.when(blank("solution"), 0.0).otherwise(1.0)).alias("share"))
     j = rows.join(share, "chapter")
     gap = blank("solution") & ((F.col("share") >= gate) | F.col("printed"))
-    _, fields = status({"stem": blank("stem"), "answer": blank("answer"), "solution": gap})
+    open_ = F.exists(F.array(*map(F.lit, "ABCD")), lambda k: blank(F.try_element_at("options", k)))
+    prose = contamination(F.col("stem"), F.col("solution")).isNotNull()
+    _, fields = status({"stem": blank("stem") | prose, "options": F.coalesce(open_, F.lit(True)), "answer": blank("answer"), "solution": gap})
     return j.where(F.size(fields) > 0).select("chapter", "q_no", F.array_join(fields, ",").alias("missing"))

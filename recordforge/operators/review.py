@@ -12,7 +12,7 @@ from recordforge.functions import patterns as P
 def queue(sources: dict[str, DataFrame]) -> DataFrame:
     """Union of flag sources (kind, q_id, chapter, detail and anything else): with source, severity and flag_key.
 
-    A flag of the catch-all source ``validator`` that another source has under the same key is dropped.
+    The key tells sources apart. The catch-all source ``validator`` adds only flags whose key is not there yet, each once.
     """
     parts = [df.select("kind", "q_id", "chapter", F.substring(F.coalesce("detail", F.lit("")), 1, P.DETAIL_LEN).alias("detail"), F.lit(name).alias("source")) for name, df in sources.items()]
     out = parts[0]
@@ -20,10 +20,12 @@ def queue(sources: dict[str, DataFrame]) -> DataFrame:
         out = out.unionByName(p)
     blocker = F.col("kind").isin(*P.BLOCKER_KINDS)
     out = out.withColumn("severity", F.when(blocker, "BLOCKER").otherwise("REVIEW"))
-    out = out.withColumn("flag_key", K.flag_key(F.col("kind"), F.col("q_id"), F.col("chapter"), F.lit("any"), F.col("detail")))
-    others = out.where("source <> 'validator'").select("flag_key").distinct()
-    kept = out.where("source <> 'validator'").unionByName(out.where("source = 'validator'").join(others, "flag_key", "left_anti").select(*out.columns))
-    return kept
+    out = out.withColumn("flag_key", K.flag_key(F.col("kind"), F.col("q_id"), F.col("chapter"), F.col("source"), F.col("detail")))
+    named, rest = out.where("source <> 'validator'"), out.where("source = 'validator'")
+    rest = rest.join(named.select("flag_key").distinct(), "flag_key", "left_anti")
+    columns = out.columns
+    rest = rest.groupBy("flag_key").agg(F.min(F.struct(*columns)).alias("f")).select("f.*")  # one key, one flag
+    return named.unionByName(rest.select(*columns))
 
 
 def latest(decisions: DataFrame, key: str = "flag_key", position: str = "pos") -> DataFrame:

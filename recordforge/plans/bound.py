@@ -13,8 +13,10 @@ from recordforge.functions import tables as MD
 from recordforge.functions import text as X
 from recordforge.operators import edits as E
 from recordforge.operators import fields as O
+from recordforge.operators import healing as H
 from recordforge.operators import merging as M
 from recordforge.operators import ownership as W
+from recordforge.operators import records as R
 from recordforge.operators import review as V
 
 from . import sql as S
@@ -488,3 +490,244 @@ def cross_search(spark, d):
     b, t = table(spark, d, "benchmark"), table(spark, d, "documents")
     short = t.join(b.select(F.col("item_id").alias("doc_id")), "doc_id", "left_semi").select((100000 + F.col("doc_id")).alias("frag"), F.substring(X.norm(F.col("text")), 1, 12).alias("text"))
     return E.cross_search(b.select(F.col("item_id").alias("frag"), "text").unionByName(short), t.select(F.col("doc_id").alias("q_no"), F.col("text").alias("solution")))
+
+
+_HEADED = f"""o AS (SELECT o_orderkey AS row_id, o_custkey % 5 AS chapter, o_orderkey % 700 + 1 AS q_no, (o_orderkey * 7 + 3) % 900 + 1 AS m, o_orderpriority AS t, o_orderkey % 4 AS i FROM orders),
+sol AS (SELECT *, CASE i WHEN 0 THEN t WHEN 1 THEN t || ' Solution to Question ' || m || ': other' WHEN 2 THEN ' ' ELSE 'Solution to Question ' || q_no || ': own' END AS solution FROM o)"""
+
+
+@query(
+    "heal_dump_tail",
+    f"""WITH {_HEADED}, own AS (SELECT DISTINCT chapter, q_no FROM sol WHERE i <> 2)
+SELECT row_id, chapter, q_no, CASE WHEN i = 1 AND m <> q_no AND EXISTS (SELECT 1 FROM own WHERE own.chapter = sol.chapter AND own.q_no = m) THEN t ELSE solution END AS healed FROM sol""",
+)
+def heal_dump_tail(spark, d):
+    k, i = F.col("o_orderkey"), F.col("o_orderkey") % 4
+    head = lambda n, rest: F.concat(F.lit("Solution to Question "), s(n), F.lit(rest))
+    q, m, t = k % 700 + 1, (k * 7 + 3) % 900 + 1, F.col("o_orderpriority")
+    text = F.when(i == 0, t).when(i == 1, F.concat(t, F.lit(" "), head(m, ": other"))).when(i == 2, " ").otherwise(head(q, ": own"))
+    return H.trim_dumps(table(spark, d, "orders").select(k.alias("row_id"), (F.col("o_custkey") % 5).alias("chapter"), q.alias("q_no"), text.alias("solution"))).drop("solution")
+
+
+@query(
+    "head_donation",
+    f"""WITH {_LINES}, r AS (SELECT *, last_value(CASE WHEN flag = 'A' THEN id END IGNORE NULLS) OVER (PARTITION BY chapter ORDER BY id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS dest FROM li),
+g AS (SELECT chapter, dest, min(id) AS giver FROM r WHERE flag = 'R' AND dest IS NOT NULL GROUP BY ALL)
+SELECT r.chapter, r.id AS q_no, CASE WHEN flag = 'N' THEN 'full ' || part WHEN flag = 'R' AND g2.giver IS NOT NULL THEN 'Solution to Question ' || r.id || ': own' WHEN flag = 'R' THEN 'Text of ' || part || '. Solution to Question ' || r.id || ': own'
+  WHEN g.giver IS NOT NULL THEN 'Text of ' || (SELECT part FROM li x WHERE x.chapter = r.chapter AND x.id = g.giver) || '.' END AS healed
+FROM r LEFT JOIN g ON flag = 'A' AND g.chapter = r.chapter AND g.dest = r.id LEFT JOIN g g2 ON g2.chapter = r.chapter AND g2.giver = r.id""",
+)
+def head_donation(spark, d):
+    own = F.concat(F.lit("Text of "), s(F.col("part")), F.lit(". Solution to Question "), s(F.col("q_no")), F.lit(": own"))
+    text = F.when(F.col("flag") == "N", F.concat(F.lit("full "), s(F.col("part")))).when(F.col("flag") == "R", own)
+    li = table(spark, d, "lineitem").groupBy(F.col("l_orderkey").alias("chapter"), F.col("l_linenumber").alias("q_no")).agg(F.min("l_returnflag").alias("flag"), F.max("l_partkey").alias("part"))
+    return H.donate_heads(li.select("chapter", "q_no", text.alias("solution"))).drop("solution")
+
+
+@query(
+    "heal_tables",
+    f"""WITH t AS (SELECT o_orderkey AS id, ['Answer', 'table', 'table', 'answer key', 'x'] AS ty, ['Question | Correct Option' || {NL} || '1 | A', '| ' || o_orderpriority || ' |', '|  ' || lower(o_orderpriority) || CASE WHEN o_custkey % 2 = 0 THEN ' |' ELSE ' ! |' END,
+  CASE WHEN o_custkey % 3 = 0 THEN 'other' ELSE 'the Correct Option' END, '|' || o_orderpriority || '|'] AS md FROM orders),
+k AS (SELECT *, list_transform(md, lambda x: regexp_replace(lower(x), '\\s+', '', 'g')) AS ks FROM t),
+f AS (SELECT id, list_transform(list_filter(range(1, 6), lambda i: NOT (contains(lower(ty[i]), 'answer') AND contains(md[i], 'Correct Option')) AND NOT (ks[i] <> '' AND list_contains(ks[1:i - 1], ks[i]))), lambda i: md[i]) AS kept FROM k)
+SELECT id, array_to_string(kept, ';') AS kept, CAST(len(kept) AS INT) AS n FROM f""",
+)
+def heal_tables(spark, d):
+    p, c = F.col("o_orderpriority"), F.col("o_custkey")
+    t = lambda kind, md: F.struct(F.lit(kind).alias("type"), md.alias("markdown"))
+    third = F.concat(F.lit("|  "), F.lower(p), F.when(c % 2 == 0, " |").otherwise(" ! |"))
+    tables = F.array(t("Answer", F.lit("Question | Correct Option\n1 | A")), t("table", F.concat(F.lit("| "), p, F.lit(" |"))), t("table", third),
+                     t("answer key", F.when(c % 3 == 0, "other").otherwise("the Correct Option")), t("x", F.concat(F.lit("|"), p, F.lit("|"))))
+    once = table(spark, d, "orders").select(F.col("o_orderkey").alias("id"), H.drop_tables(tables).alias("h"))
+    return once.withColumn("h", H.drop_tables(F.col("h"))).select("id", F.array_join(F.transform("h", lambda x: x["markdown"]), ";").alias("kept"), F.size("h").alias("n"))
+
+
+_GRID = f"""grid AS (SELECT p_brand AS chapter, p_partkey AS id, list_concat(list_transform(range(1, p_size % 5 + 2), lambda i: 'r' || i), CASE WHEN p_partkey % 7 = 0 THEN ['z'] ELSE [] END) AS r, 'H' || p_partkey % 2 AS h FROM part),
+md AS (SELECT *, '| ' || h || ' |' || {NL} || '|---|' || {NL} || array_to_string(list_transform(r, lambda x: '| ' || x || ' |'), {NL}) AS markdown FROM grid)"""
+_BETTER = f"""{_GRID}, best AS (SELECT a.chapter, a.id, arg_max(b.markdown, (len(b.r), -b.id)) AS better FROM md a JOIN md b ON a.chapter = b.chapter AND a.h = b.h AND a.id <> b.id
+  WHERE len(b.r) > len(a.r) AND len(list_filter(a.r, lambda x: NOT list_contains(b.r, x))) = 0 GROUP BY ALL)"""
+
+
+def _grid(spark, d):
+    k = F.col("p_partkey")
+    rows = F.concat(F.transform(F.sequence(F.lit(1), F.col("p_size") % 5 + 1), lambda i: F.concat(F.lit("| r"), s(i), F.lit(" |"))), F.when(k % 7 == 0, F.array(F.lit("| z |"))).otherwise(F.array().cast("array<string>")))
+    md = F.concat(F.lit("| H"), s(k % 2), F.lit(" |\n|---|\n"), F.array_join(rows, "\n"))
+    return table(spark, d, "part").select(F.col("p_brand").alias("chapter"), k.alias("id"), F.lit(0).alias("pos"), md.alias("markdown"))
+
+
+@query("heal_tables_from_siblings", f"WITH {_BETTER} SELECT id, coalesce(better, markdown) AS healed FROM md LEFT JOIN best USING (chapter, id)")
+def heal_tables_from_siblings(spark, d):
+    return H.complete_tables(_grid(spark, d)).select("id", "healed")
+
+
+@query("heal_archive", f"WITH {_BETTER} SELECT id, markdown AS before, better AS after FROM md JOIN best USING (chapter, id) WHERE markdown <> better")
+def heal_archive(spark, d):
+    df = _grid(spark, d)
+    return H.archive(df, H.complete_tables(df).select("id", F.col("healed").alias("markdown")), ["id"], "markdown")
+
+
+@query(
+    "truncated_tables",
+    f"""WITH {_GRID}, n AS (SELECT chapter, id, h, len(r) AS rows, max(len(r)) OVER (PARTITION BY chapter, h) AS largest FROM md)
+SELECT chapter, id, rows, largest FROM n WHERE rows <= largest - {P.TABLE_ROW_DEFICIT}""",
+)
+def truncated_tables(spark, d):
+    return H.short_siblings(_grid(spark, d))
+
+
+@query(
+    "table_dedupe",
+    f"""WITH t AS (SELECT o_orderkey AS id, o_orderkey % 4 + 1 AS a, o_custkey % 4 + 1 AS b FROM orders)
+SELECT id, 2 AS n, '| H |' || {NL} || '|---|' || {NL} || array_to_string(list_transform(range(1, CAST(greatest(a, b) AS BIGINT) + 1), lambda i: '| ' || i || ' |'), {NL}) AS first FROM t""",
+)
+def table_dedupe(spark, d):
+    md = lambda n: F.concat(F.lit("| H |\n|---|\n"), F.array_join(F.transform(F.sequence(F.lit(1).cast("long"), n), lambda i: F.concat(F.lit("| "), s(i), F.lit(" |"))), "\n"))
+    other = F.concat(F.lit("| G |\n|---|\n| "), s(F.col("o_orderkey")), F.lit(" |"))
+    tables = F.array(md(F.col("o_orderkey") % 4 + 1), md(F.col("o_custkey") % 4 + 1), other)
+    return table(spark, d, "orders").select(F.col("o_orderkey").alias("id"), MD.dedupe(tables).alias("t")).select("id", F.size("t").alias("n"), F.get("t", F.lit(0)).alias("first"))
+
+
+@query(
+    "inline_tables",
+    f"""WITH t AS (SELECT o_orderkey AS id, o_orderkey % 5 AS n, o_orderpriority AS p FROM orders)
+SELECT id, 'Before ' || p || {NL} || CASE WHEN n >= 3 THEN '' ELSE array_to_string(list_transform(range(n), lambda i: '| ' || i || ' |' || {NL}), '') END || 'after' AS prose, CAST(n >= 3 AS INT) AS tables FROM t""",
+)
+def inline_tables(spark, d):
+    n = (F.col("o_orderkey") % 5).cast("int")
+    rows = F.transform(F.when(n > 0, F.sequence(F.lit(0), n - 1)).otherwise(F.array().cast("array<int>")), lambda i: F.concat(F.lit("| "), s(i), F.lit(" |\n")))
+    out = MD.split_inline(F.concat(F.lit("Before "), F.col("o_orderpriority"), F.lit("\n"), F.array_join(rows, ""), F.lit("after")))
+    return table(spark, d, "orders").select(F.col("o_orderkey").alias("id"), out.alias("o")).select("id", F.col("o.prose").alias("prose"), F.size("o.tables").alias("tables"))
+
+
+_NOVEL = f"substr(text, 1, 40) || {NL} || {NL} || 'Extra ' || doc_id || {NL} || ' ' || {NL} || lower(substr(text, 5, 30))"
+
+
+@query(
+    "paragraph_novelty",
+    rf"""WITH t AS (SELECT doc_id AS id, coalesce({_NOVEL}, '') AS f, {S.norm("text")} AS have FROM documents)
+SELECT id, array_to_string(list_filter(regexp_split_to_array(f, '\n\s*\n'), lambda p: {S.strip("p")} <> '' AND strpos(have, {S.norm("p")}) = 0), '|') AS missing FROM t""",
+)
+def paragraph_novelty(spark, d):
+    f = F.concat(F.substring("text", 1, 40), F.lit("\n\nExtra "), s(F.col("doc_id")), F.lit("\n \n"), F.lower(F.substring("text", 5, 30)))
+    return table(spark, d, "documents").select(F.col("doc_id").alias("id"), F.array_join(H.missing_paragraphs(f, F.col("text")), "|").alias("missing"))
+
+
+@query(
+    "orphan_ladder",
+    """WITH o AS (SELECT o_orderkey AS orphan, o_custkey AS chapter, ['solution', 'options', 'stem'][o_orderkey % 3 + 1] AS field, 'Value ' || o_orderkey % 4 AS value,
+  [CASE WHEN o_orderkey % 5 = 0 THEN o_orderkey % 4 + 1 END, CASE WHEN o_orderkey % 2 = 0 THEN o_orderkey % 7 + 1 END, CASE WHEN o_orderkey % 3 = 1 THEN 2 END, o_orderkey % 3 + 1] AS c FROM orders),
+r AS (SELECT c_custkey AS chapter, q, f AS field, CASE (c_custkey + q) % 3 WHEN 0 THEN ' ' WHEN 1 THEN 'the VALUE  ' || c_custkey % 4 || ' here' ELSE NULL END AS have, (c_custkey + q) % 3 AS m FROM customer, unnest([1, 2, 3]) u(q), unnest(['solution', 'options']) v(f)),
+j AS (SELECT orphan, rk, q, CASE WHEN m <> 1 THEN 'filled' WHEN strpos('the value ' || o.chapter % 4 || ' here', lower(value)) > 0 THEN 'consumed' END AS outcome
+  FROM (SELECT *, unnest(range(1, 5)) AS rk FROM o) o JOIN r ON r.chapter = o.chapter AND r.field = o.field AND r.q = o.c[rk] WHERE rk < 4 OR o.field = 'solution'),
+b AS (SELECT orphan, arg_min(q, rk) AS owner, min(rk) AS rk, arg_min(outcome, rk) AS outcome FROM j WHERE outcome IS NOT NULL GROUP BY 1)
+SELECT o.orphan, owner, ['self_labelled', 'carry', 'last_question', 'page_position'][rk] AS rule, coalesce(outcome, 'blocked') AS outcome FROM o LEFT JOIN b USING (orphan)""",
+)
+def orphan_ladder(spark, d):
+    k = F.col("o_orderkey")
+    field = F.get(F.array(F.lit("solution"), F.lit("options"), F.lit("stem")), (k % 3).cast("int"))
+    o = table(spark, d, "orders").select(k.alias("orphan"), F.col("o_custkey").alias("chapter"), field.alias("field"), F.concat(F.lit("Value "), s(k % 4)).alias("value"), F.when(k % 5 == 0, k % 4 + 1).alias("label"),
+                                         F.when(k % 2 == 0, k % 7 + 1).alias("carry_no"), F.when(k % 3 == 1, F.lit(2).cast("long")).alias("last_no"), (k % 3 + 1).alias("page_no"))
+    c = table(spark, d, "customer").select(F.col("c_custkey").alias("chapter"), F.explode(F.array(*[F.lit(n).cast("long") for n in (1, 2, 3)])).alias("q_no"))
+    m = (F.col("chapter") + F.col("q_no")) % 3
+    have = F.when(m == 0, " ").when(m == 1, F.concat(F.lit("the VALUE  "), s(F.col("chapter") % 4), F.lit(" here")))
+    c = c.select("chapter", "q_no", F.explode(F.array(F.lit("solution"), F.lit("options"))).alias("field"), have.alias("value"))
+    return H.recover_orphans(o, c)
+
+
+@query(
+    "phantom_drop",
+    f"""WITH t AS (SELECT doc_id AS q_no, source AS chapter, substr(text, 1, 300) AS a, CASE WHEN doc_id % 3 = 0 THEN substr(text, 20, 250) ELSE lang || ' is not it' END AS b FROM documents WHERE doc_id % 2 = 0 AND doc_id % 5 > 0),
+w AS (SELECT q_no, chapter, {S.tokens("a")} AS x, {S.tokens("b")} AS y FROM t WHERE NOT {_BL("a")}), z AS (SELECT chapter, q_no, {S.overlap("x", "y")} AS score FROM w) SELECT * FROM z WHERE score >= 0.5""",
+)
+def phantom_drop(spark, d):
+    t, k = table(spark, d, "documents"), F.col("doc_id")
+    rows = t.select(F.col("source").alias("chapter"), k.alias("q_no"), F.when(k % 2 > 0, "stem").alias("stem"), F.substring("text", 1, 300).alias("solution"), (k % 5 == 0).alias("question_pass"))
+    prior = t.select(k.alias("q_no"), F.when(k % 3 == 0, F.substring("text", 20, 250)).otherwise(F.concat("lang", F.lit(" is not it"))).alias("solution"))
+    return H.drop_phantoms(rows, prior)
+
+
+_ITEMS = """it AS (SELECT l_orderkey AS chapter, nullif(l_linenumber, 7) AS q_no, l_partkey AS seq, substr('QAS', CAST(l_partkey % 3 + 1 AS INT), 1) AS pass, CASE WHEN l_partkey % 5 > 0 THEN 'Which one is ' || l_partkey || '?' END AS stem,
+  CASE WHEN l_partkey % 2 = 0 THEN chr(CAST(65 + l_partkey % 4 AS INT)) END AS answer, 'Because N' || l_partkey || '.' AS solution FROM lineitem)"""
+
+
+def _items(spark, d):
+    p = F.col("l_partkey")
+    step = F.substring(F.lit("QAS"), (p % 3 + 1).cast("int"), F.lit(1))
+    stem = F.when(p % 5 > 0, F.concat(F.lit("Which one is "), s(p), F.lit("?")))
+    return table(spark, d, "lineitem").select(F.col("l_orderkey").alias("chapter"), F.nullif(F.col("l_linenumber"), F.lit(7)).alias("q_no"), p.alias("seq"), step.alias("pass"), stem.alias("stem"),
+                                              F.when(p % 2 == 0, F.char(65 + p % 4)).alias("answer"), F.concat(F.lit("Because N"), s(p), F.lit(".")).alias("solution"))
+
+
+_KNOWN = "kn AS (SELECT o_orderkey AS chapter, unnest([1, 2, 3, 4, 5]) AS q_no FROM orders WHERE o_orderkey % 10 > 0)"
+
+
+def _known(spark, d):
+    return table(spark, d, "orders").where("o_orderkey % 10 > 0").select(F.col("o_orderkey").alias("chapter"), F.explode(F.sequence(F.lit(1), F.lit(5))).alias("q_no"))
+
+
+@query(
+    "merge_records",
+    f"""WITH {_ITEMS}, {_KNOWN}, k AS (SELECT * FROM it WHERE EXISTS (SELECT 1 FROM kn WHERE kn.chapter = it.chapter AND kn.q_no = it.q_no)),
+z AS (SELECT chapter, q_no, seq, CASE WHEN pass = 'Q' THEN stem END AS stem, CASE WHEN pass <> 'Q' THEN answer END AS answer, CASE WHEN pass = 'S' THEN solution END AS solution FROM k)
+SELECT chapter, q_no, arg_min(stem, seq) FILTER (stem IS NOT NULL) AS stem, arg_min(answer, seq) FILTER (answer IS NOT NULL) AS answer, arg_max(solution, seq) FILTER (solution IS NOT NULL) AS solution,
+  CAST(count(DISTINCT stem) > 1 AS INT) + CAST(count(DISTINCT answer) > 1 AS INT) AS conflicts FROM z GROUP BY ALL""",
+)
+def merge_records(spark, d):
+    return M.merge(_items(spark, d), _known(spark, d))[0]
+
+
+@query(
+    "merge_skipped",
+    f"""WITH {_ITEMS}, {_KNOWN} SELECT chapter, q_no, seq, CASE WHEN q_no IS NULL THEN 'no number' ELSE 'foreign number' END AS reason FROM it
+WHERE q_no IS NULL OR NOT EXISTS (SELECT 1 FROM kn WHERE kn.chapter = it.chapter AND kn.q_no = it.q_no)""",
+)
+def merge_skipped(spark, d):
+    return M.merge(_items(spark, d), _known(spark, d))[1].select("chapter", "q_no", "seq", "reason")
+
+
+@query(
+    "option_owner",
+    f"""WITH {_LINES}, f AS (SELECT chapter AS page, id AS fig, part % 50 * 10.0 AS x, id * 100.0 AS y FROM li WHERE flag <> 'A'),
+b AS (SELECT chapter AS page, chr(CAST(65 + id % 4 AS INT)) AS letter, part % 37 * 10.0 AS x, id // 2 * 200.0 AS y FROM li WHERE flag = 'A'),
+j AS (SELECT f.page, fig, letter, abs(b.x - f.x) AS d, b.y, min(b.y) OVER (PARTITION BY f.page, fig) AS r FROM f JOIN b ON f.page = b.page AND b.y > f.y),
+g AS (SELECT page, fig, list_sort(list({{'d': d, 'letter': letter}})) AS c FROM j WHERE abs(y - r) <= 1 GROUP BY ALL)
+SELECT f.page, f.fig, CASE WHEN len(c) = 1 OR c[2].d - c[1].d >= 20 THEN c[1].letter END AS letter FROM f LEFT JOIN g ON f.page = g.page AND f.fig = g.fig""",
+)
+def option_owner(spark, d):
+    li = table(spark, d, "lineitem").groupBy(F.col("l_orderkey").alias("page"), F.col("l_linenumber").alias("fig")).agg(F.min("l_returnflag").alias("flag"), F.max("l_partkey").alias("part"))
+    num = lambda c: c.cast("double")
+    figures = li.where("flag <> 'A'").select("page", "fig", num(F.col("part") % 50 * 10).alias("x"), num(F.col("fig") * 100).alias("y"))
+    labels = li.where("flag = 'A'").select("page", F.char(65 + F.col("fig") % 4).alias("letter"), num(F.col("part") % 37 * 10).alias("x"), num(F.floor(F.col("fig") / 2) * 200).alias("y"))
+    return M.option_owner(figures, labels)
+
+
+_SEVEN = S.q(list(P.SPLIT_FILES))
+
+
+@query(
+    "rubric",
+    f"""WITH c AS (SELECT o_custkey AS chapter, o_orderkey AS q, o_orderstatus AS st FROM orders),
+r AS (SELECT chapter, count(*) AS n, count(*) FILTER (q % 4 = 0) AS g1, count(*) FILTER (q % 4 > 0) + CAST(chapter % 13 = 0 AS INT) AS g2, list(q) AS qs FROM c GROUP BY 1),
+lone AS (SELECT DISTINCT chapter FROM c WHERE q % 97 = 0),
+f AS (SELECT chapter, list_filter([CASE WHEN chapter % 17 = 0 THEN 'files_exist' END, CASE WHEN chapter % 11 = 0 THEN 'grade_values' END, CASE WHEN g1 + g2 <> n THEN 'grade_sum' END, CASE WHEN chapter % 19 = 0 THEN 'phase2_pending' END,
+  CASE WHEN chapter % 23 = 0 THEN 'extraction_status' END, CASE WHEN chapter IN (SELECT chapter FROM lone) THEN 'qid_set_consistency' END, CASE WHEN chapter % 29 = 0 THEN 'unresolved_qids' END], lambda x: x IS NOT NULL) AS f FROM r)
+SELECT chapter, array_to_string(f, ',') AS failed, len(f) = 0 AS passed FROM f""",
+)
+def rubric(spark, d):
+    """The seven checks over a roll-up of orders, spoilt in some chapters."""
+    c, k = F.col("chapter"), F.col("q")
+    o = table(spark, d, "orders").select(F.col("o_custkey").alias("chapter"), F.col("o_orderkey").alias("q"))
+    r = o.groupBy("chapter").agg(F.count("*").alias("question_records"), F.count_if(k % 4 == 0).alias("g1"), F.count_if(k % 4 > 0).alias("g2"))
+    files = F.array(*map(F.lit, P.SPLIT_FILES))
+    none = F.array().cast("array<string>")
+    r = r.select(
+        "chapter", "question_records",
+        F.when(c % 17 == 0, F.slice(files, 1, 6)).otherwise(files).alias("files"),
+        F.create_map(F.lit("RESOLVED"), F.col("g1"), F.when(c % 11 == 0, "GUESSED").otherwise("PROVISIONAL"), F.col("g2") + F.when(c % 13 == 0, 1).otherwise(0)).alias("grade_counts"),
+        F.when(c % 19 == 0, F.array(F.lit("ocr_stem"))).otherwise(none).alias("pending"),
+        F.when(c % 23 == 0, F.array(F.lit("COMPLETE"), F.lit("HALF"))).otherwise(F.array(F.lit("COMPLETE"), F.lit("INCOMPLETE"))).alias("statuses"),
+        F.when(c % 29 == 0, F.array(F.lit(3), F.lit(1))).otherwise(F.array(F.lit(1), F.lit(3))).alias("unresolved"),
+    )
+    ids = o.select("chapter", k.alias("q_id"))
+    most = ids.where("q_id % 97 > 0")
+    return R.rubric(r, ids, most, most)

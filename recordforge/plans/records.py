@@ -8,7 +8,7 @@ from recordforge.operators import records as R
 from recordforge.operators import rules
 
 from . import sql as S
-from .evidence import REST, STEM, docs, split_text
+from .evidence import _CONTAMINATION, REST, STEM, docs, split_text
 from .registry import query
 
 
@@ -169,15 +169,6 @@ def completeness(spark, d):
     return R.completeness(*_split(spark, d))
 
 
-@query(
-    "rubric",
-    f"""WITH {_COMPLETE}, f AS (SELECT chapter, array_to_string(list_filter([CASE WHEN question_incomplete > 0 THEN 'questions_complete' END, CASE WHEN answer_incomplete > 0 THEN 'answers_complete' END,
-  CASE WHEN solution_incomplete > 0 THEN 'solutions_complete' END], lambda x: x IS NOT NULL), ',') AS failed FROM cm) SELECT chapter, failed, failed = '' AS passed FROM f""",
-)
-def rubric(spark, d):
-    return R.rubric(R.completeness(*_split(spark, d)))
-
-
 def _graded(spark, d):
     r = _answers(spark, d)
     bit = lambda k: F.col("doc_id").bitwiseAND(F.lit(1 << k).cast("long")) != 0
@@ -213,13 +204,16 @@ def grade_counts(spark, d):
 
 @query(
     "incomplete_records",
-    f"""WITH {_ANS}, s AS (SELECT chapter, avg(CASE WHEN {_BL("solution")} THEN 0.0 ELSE 1.0 END) AS share FROM rec GROUP BY 1),
-f AS (SELECT chapter, q_no, array_to_string(list_filter([CASE WHEN {_BL("stem")} THEN 'stem' END, CASE WHEN answer IS NULL THEN 'answer' END,
-  CASE WHEN {_BL("solution")} AND (share >= 0.6 OR q_no % 11 = 0) THEN 'solution' END], lambda x: x IS NOT NULL), ',') AS missing FROM rec JOIN s USING (chapter))
+    f"""WITH {_SPLIT}, src AS (SELECT doc_id, text FROM documents), {_CONTAMINATION}, s AS (SELECT chapter, avg(CASE WHEN {_BL("solution")} THEN 0.0 ELSE 1.0 END) AS share FROM sp GROUP BY 1),
+f AS (SELECT chapter, q_no, array_to_string(list_filter([CASE WHEN {_BL("stem")} OR sp.doc_id IN (SELECT doc_id FROM x WHERE reason IS NOT NULL) THEN 'stem' END,
+  CASE WHEN len(list_filter(sp.o, lambda x: {_BL("x")})) > 0 THEN 'options' END, CASE WHEN answer IS NULL THEN 'answer' END,
+  CASE WHEN {_BL("solution")} AND (share >= 0.6 OR q_no % 11 = 0) THEN 'solution' END], lambda x: x IS NOT NULL), ',') AS missing FROM sp JOIN s USING (chapter))
 SELECT * FROM f WHERE missing <> ''""",
 )
 def incomplete_records(spark, d):
-    return R.incomplete(_answers(spark, d).withColumn("printed", F.col("q_no") % 11 == 0))
+    words = F.slice(F.split("solution", r"\s+"), 1, 4)
+    opts = F.map_from_arrays(F.slice(F.array(*map(F.lit, "ABCD")), F.lit(1), F.size(words)), words)
+    return R.incomplete(_answers(spark, d).withColumn("options", opts).withColumn("printed", F.col("q_no") % 11 == 0))
 
 
 def ledger(spark, d):

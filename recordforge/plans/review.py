@@ -174,10 +174,10 @@ def adjudicate_cases(spark, d):
     return df.select("id", O.adjudicate(*[F.col(c) for c in ("score", "found", "truncated", "page", "duplicate")]).alias("outcome"))
 
 
-PATCHES = [(1, {"A": "x", "D": None}, {"D": "Lingual artery"}), (2, {"A": "x", "D": "  "}, {"D": "Lingual artery"}), (3, {"A": "x", "D": "kept"}, {"D": "other"}), (4, {"A": "x"}, {"B": None})]
+PATCHES = [(1, {"A": "x", "D": None}, {"D": "the fourth choice"}), (2, {"A": "x", "D": "  "}, {"D": "the fourth choice"}), (3, {"A": "x", "D": "kept"}, {"D": "other"}), (4, {"A": "x"}, {"B": None})]
 
 
-@query("option_patch", "SELECT * FROM (VALUES (1, 'A=x;D=Lingual artery'), (2, 'A=x;D=Lingual artery'), (3, 'A=x;D=kept'), (4, 'A=x')) t(id, options)")
+@query("option_patch", "SELECT * FROM (VALUES (1, 'A=x;D=the fourth choice'), (2, 'A=x;D=the fourth choice'), (3, 'A=x;D=kept'), (4, 'A=x')) t(id, options)")
 def option_patch(spark, d):
     df = S.inline(spark, "id int, options map<string,string>, fix map<string,string>", PATCHES)
     new = O.patch_options(F.col("options"), F.col("fix"))
@@ -190,14 +190,15 @@ def _flags(spark, d):
     gate = docs.where("n_chars < 200").select(F.lit("incomplete_records").alias("kind"), "q_id", "chapter", F.concat(F.lit("short: "), F.col("n_chars").cast("string")).alias("detail"))
     integrity = docs.where("lang = 'de'").select(F.lit("answer_key_disagrees").alias("kind"), "q_id", "chapter", F.lit("language").alias("detail"))
     check = docs.where("lang in ('de', 'es')").select(F.when(F.col("lang") == "de", "answer_key_disagrees").otherwise("suspect_stem").alias("kind"), "q_id", "chapter", F.lit("language").alias("detail"))
+    check = check.unionByName(check.where("q_id % 2 = 0"))  # the validator may say a thing twice
     return V.queue({"export_gate": gate, "integrity": integrity, "validator": check})
 
 
-_KEY = "substr(sha1(concat_ws('|', kind, q_id, chapter, 'any', substr(sha1(substr(detail, 1, 400)), 1, 8))), 1, 16)"
+_KEY = "substr(sha1(concat_ws('|', kind, q_id, chapter, source, substr(sha1(substr(detail, 1, 400)), 1, 8))), 1, 16)"
 _QUEUE = f"""d AS (SELECT CAST(doc_id AS VARCHAR) AS q_id, source AS chapter, lang, n_chars FROM documents),
 u AS (SELECT 'incomplete_records' AS kind, q_id, chapter, 'short: ' || n_chars AS detail, 'export_gate' AS source FROM d WHERE n_chars < 200
   UNION ALL SELECT 'answer_key_disagrees', q_id, chapter, 'language', 'integrity' FROM d WHERE lang = 'de'
-  UNION ALL SELECT 'suspect_stem', q_id, chapter, 'language', 'validator' FROM d WHERE lang = 'es'),
+  UNION ALL SELECT DISTINCT CASE lang WHEN 'de' THEN 'answer_key_disagrees' ELSE 'suspect_stem' END, q_id, chapter, 'language', 'validator' FROM d WHERE lang IN ('de', 'es')),
 fl AS (SELECT *, CASE WHEN kind = 'suspect_stem' THEN 'REVIEW' ELSE 'BLOCKER' END AS severity, {_KEY} AS flag_key FROM u)"""
 
 
@@ -235,12 +236,12 @@ def final_gate(spark, d):
     return V.gate(_decided(spark, d))
 
 
-@query("review_page", f"WITH {_QUEUE}, o AS (SELECT *, row_number() OVER (PARTITION BY chapter ORDER BY severity, kind, q_id) AS r FROM fl) SELECT chapter, r, flag_key FROM o WHERE r BETWEEN 1 AND 25")
+@query("review_page", f"WITH {_QUEUE}, o AS (SELECT *, row_number() OVER (PARTITION BY chapter ORDER BY severity, q_id, kind, source) AS r FROM fl) SELECT chapter, r, flag_key FROM o WHERE r BETWEEN 1 AND 25")
 def review_page(spark, d):
     """The first page of each chapter's open flags (a page is the feature)."""
     from pyspark.sql import Window
 
-    w = Window.partitionBy("chapter").orderBy("severity", "kind", "q_id")
+    w = Window.partitionBy("chapter").orderBy("severity", "q_id", "kind", "source")
     return _flags(spark, d).withColumn("r", F.row_number().over(w)).where("r between 1 and 25").select("chapter", "r", "flag_key")
 
 
