@@ -30,6 +30,19 @@ def trim_dumps(rows: DataFrame) -> DataFrame:
     return out.withColumn("healed", F.when(F.col("proof"), cut).otherwise(F.col("solution"))).select(*rows.columns, "healed")
 
 
+def trim_tail(rows: DataFrame, lead: str, mark: str) -> DataFrame:
+    """``rows (..., solution)`` with ``healed`` and ``archived``: where a solution holds both signatures, what begins at the mark goes into the archive."""
+    at = F.instr("solution", mark)
+    hit = (at > 0) & F.contains("solution", F.lit(lead))
+    return rows.withColumn("healed", F.when(hit, X.rstrip(F.substring("solution", F.lit(1), at - 1))).otherwise(F.col("solution"))).withColumn("archived", F.when(hit, F.substring("solution", at, F.char_length("solution"))))
+
+
+def relabel(rows: DataFrame, line: str, letter: str) -> DataFrame:
+    """``rows (..., solution)`` with ``healed``: the option line gets another letter, its content stays."""
+    new = f"Option {letter}" + line[len("Option X") :]
+    return rows.withColumn("healed", F.replace("solution", F.lit(line), F.lit(new)))
+
+
 def complete_tables(rows: DataFrame) -> DataFrame:
     """``rows (chapter, id, pos, markdown)``: a table gets the largest same-header sibling's rows if its own are a proper subset: with ``healed``."""
     t = rows.withColumn("h", MD.header_key(F.col("markdown"))).withColumn("r", MD.table_rows(F.col("markdown")))

@@ -126,6 +126,22 @@ def grade(rows: DataFrame) -> DataFrame:
     return rows.withColumn("reason", reason).withColumn("grade", F.when(F.col("reason").isNotNull(), "UNRESOLVED").otherwise(F.col("grade")))
 
 
+def placed(rows: DataFrame, *order: str) -> DataFrame:
+    """``rows`` in a global order, with ``place`` from 1: rows are dealt out by ranges of the order, ranked inside a range, and ranges are offset by the sizes of those before.
+
+    The first column of the order alone makes the ranges, so equal values of it stay together. Only one count a range is gathered.
+    """
+    first = order[0]
+    size = rows.groupBy(first).agg(F.count("*").alias("_n"))
+    cuts = rows.select(F.percentile_approx(first, [i / 64 for i in range(1, 64)], 10_000)).first()[0] or []
+    cuts = sorted(set(cuts))
+    at = F.size(F.filter(F.array(*map(F.lit, cuts)), lambda c: c <= F.col(first))) if cuts else F.lit(0)
+    per = size.withColumn("_at", at).groupBy("_at").agg(F.sum("_n").alias("_n"))
+    per = per.withColumn("_before", F.sum("_n").over(Window.orderBy("_at")) - F.col("_n")).drop("_n")
+    rank = F.row_number().over(Window.partitionBy("_at").orderBy(*order))
+    return rows.withColumn("_at", at).withColumn("_r", rank).join(F.broadcast(per), "_at").withColumn("place", F.col("_before") + F.col("_r")).drop("_at", "_r", "_before")
+
+
 def first_rows(rows: DataFrame, key: str, *order: Column | str) -> DataFrame:
     """Keep-first dedupe; rows without a key are dropped."""
     w = Window.partitionBy(key).orderBy(*order)

@@ -65,3 +65,36 @@ def test_cross_search_finds_short_heads(spark):
         if hit:
             want[k] = min(hit)
     assert {x.frag: x.q_no for x in edits.cross_search(f, r).collect()} == want
+
+
+def test_duplicate_text_flags_name_the_less_coherent(spark):
+    from recordforge.operators import flags
+
+    stem = "the optic nerve carries impulses from the retina to the brain and is covered by sheaths all along its way"
+    rows = [("c", 1, stem, "the optic nerve is covered by sheaths"), ("c", 2, stem, "nothing alike"), ("c", 3, stem + ".", "the optic nerve carries impulses from the retina to the brain"), ("d", 4, stem, "x"), ("c", 5, "short", "x")]
+    df = spark.createDataFrame(rows, "chapter string, id long, stem string, payload string")
+    got = {(r.chapter, r.kind, r.q_no, r.detail) for r in flags.duplicate_texts(df).collect()}
+    assert got == {("c", "duplicate_text", 2, "like 1"), ("c", "duplicate_text", 1, "like 3")}
+
+
+def test_shared_segments_equal_all_pairs(spark):
+    rng = random.Random(9)
+    word = lambda: "".join(rng.choice("abcdefghijklmnop") for _ in range(rng.randrange(3, 9)))
+    passage = " ".join(word() for _ in range(60))
+    rows = [(i, " ".join(word() for _ in range(rng.randrange(40, 90))) + (" " + passage if i % 3 == 0 else "") + " " + " ".join(word() for _ in range(20))) for i in range(30)]
+    rows += [(50, passage), (51, rows[1][1]), (52, " ".join(passage.split()[:30]) + " " + " ".join(word() for _ in range(60)))]
+    df = spark.createDataFrame([("c", i, t) for i, t in rows], "chapter string, id long, text string").repartition(3)
+    got = {(r.a, r.b): (r.common, r.longest, r.suspect) for r in pairs.shared_segments(df).collect()}
+    want = {}
+    for i, x in rows:
+        for j, y in rows:
+            if i >= j or min(len(x), len(y)) <= P.SEGMENT_TEXT_LEN:
+                continue
+            s, t = x.split(), y.split()
+            runs = lambda w: {tuple(w[k : k + P.SEGMENT_N]) for k in range(len(w) - P.SEGMENT_N + 1)}
+            common = len(runs(s) & runs(t))
+            m = SequenceMatcher(None, s, t).find_longest_match(0, len(s), 0, len(t))
+            longest = len(" ".join(s[m.a : m.a + m.size]))
+            if common >= P.SEGMENT_MIN_SHINGLES and longest >= P.SEGMENT_MIN_CHARS:
+                want[i, j] = (common, longest, i if len(x) > len(y) else j)
+    assert got == want and len(want) > 20
