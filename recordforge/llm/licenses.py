@@ -17,7 +17,7 @@ import json
 import re
 
 import numpy as np
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import common
@@ -107,8 +107,13 @@ ANCHOR = (
     r"\bMIT\b|(?i:li[cz]en[scz]|copyright|copyleft|\bgpl|\blgpl|\bagpl|\bgnu\b|apache|creative commons|\bcc[ -]?(?:by|0)|public domain|rights reserved|permission|redistribut|proprietary|\bmpl\b|\bspdx"
     r"|warrant(?:y|ies)|\bliable\b|noninfringement|merchantability|unauthorized copying|contributors may)"
 )
+#: One of these stands, in lower case, wherever ANCHOR matches (``MIT`` as it is): a search that needs no regular expression.
+HINTS = (
+    "licen", "lizen", "copyright", "copyleft", "gpl", "gnu", "apache", "creative commons", "cc by", "cc-by", "ccby", "cc 0", "cc-0", "cc0", "public domain", "rights reserved", "permission", "redistribut", "proprietary", "mpl",
+    "spdx", "warrant", "liable", "noninfringement", "merchantability", "unauthorized copying", "contributors may",
+)
 #: A line break that only wraps a paragraph, with what it is made up of: blanks and comment marks.
-WRAP = r"(?<=[^\n]{40})(?<![.!?:;\r])[ \t\r]*\n[ \t]*(?:[*#/;%-]+[ \t]+)?(?=[^\s*#/;%-])"
+WRAP = r"\n(?<=[^\n]{40}\n)(?<![.!?:;]\n)(?<![.!?:;]\r\n)(?<![.!?:;] \n)[ \t]*(?:[*#/;%-]+[ \t]+)?(?=[^\s*#/;%-])"
 WORD = r"[a-z0-9][a-z0-9.+-]*[a-z0-9+]|[a-z0-9]"
 TRAIN_LINES, STEPS, L2 = 6000, 250, 1e-4
 SURE, CONFIRM = 0.7, 0.6
@@ -239,16 +244,27 @@ def scan(docs: DataFrame, sure: float = SURE, confirm: float = CONFIRM) -> DataF
     rows give repeated notices; an empty table gives none; other columns are not read.
     """
     m, known = model(), sentences()
-    anchored = docs.select("doc_id", "text").where(F.col("text").rlike(ANCHOR))
+
+    def hinted(low: Column) -> Column:
+        out = F.lit(False)
+        for x in HINTS:
+            out = out | low.contains(x)
+        return out
+
+    # the lower-cased text is made once: a lambda's variable is not expanded
+    hint = F.contains("text", F.lit("MIT")) | F.exists(F.array(F.lower("text")), hinted)
+    anchored = docs.select("doc_id", "text").where(hint).where(F.col("text").rlike(ANCHOR))
     parts = F.split(F.regexp_replace("text", WRAP, " "), "\n")
     lines = anchored.select("doc_id", F.posexplode(parts).alias("paragraph", "notice")).where(F.col("notice").rlike(ANCHOR))
     low = F.translate("notice", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
     lines = lines.withColumn("w", F.regexp_extract_all(low, F.lit(WORD), F.lit(0)))
     two = F.zip_with(F.slice("w", F.lit(1), F.greatest(F.size("w") - 1, F.lit(0))), F.slice("w", F.lit(2), F.greatest(F.size("w") - 1, F.lit(0))), lambda a, b: F.concat_ws(" ", a, b))
     lines = lines.withColumn("two", F.array_distinct(two))
+    # only what is known is looked up: an intersection hashes, a map is searched from its beginning
+    among = lambda c, names: F.array_intersect(c, F.from_json(F.lit(json.dumps(list(names))), "array<string>"))
     weights = _constant({g: m.w[i].tolist() for g, i in m.vocab.items()}, "map<string,array<double>>")
-    lines = lines.withColumn("g", F.array_distinct(F.concat("w", "two")))
-    found = F.filter(F.transform("g", lambda g: F.try_element_at(weights, g)), lambda x: x.isNotNull())
+    lines = lines.withColumn("g", among(F.concat("w", "two"), m.vocab))
+    found = F.transform("g", lambda g: F.try_element_at(weights, g))
     logits = F.aggregate(found, F.array(*map(F.lit, m.b.tolist())), lambda acc, x: F.zip_with(acc, x, lambda a, b: a + b))
     lines = lines.withColumn("z", logits).withColumn("top", F.array_max("z"))
     lines = lines.withColumn("e", F.transform("z", lambda v: F.exp(v - F.col("top"))))
@@ -267,7 +283,7 @@ def scan(docs: DataFrame, sure: float = SURE, confirm: float = CONFIRM) -> DataF
                 having.setdefault(g, []).append(len(size))
             size.append(len(own))
     holds = _constant(having, "map<string,array<int>>")
-    hits = F.flatten(F.filter(F.transform("two", lambda g: F.try_element_at(holds, g)), lambda x: x.isNotNull()))
+    hits = F.flatten(F.transform(among(F.col("two"), having), lambda g: F.try_element_at(holds, g)))
     lines = lines.withColumn("hits", hits).withColumn("mine", F.try_element_at(_constant(of_family, "map<string,array<int>>"), F.col("best")))
     sizes = F.from_json(F.lit(json.dumps(size)), "array<int>")
     shares = F.transform(F.array_intersect("mine", "hits"), lambda t: F.size(F.filter("hits", lambda h: h == t)) / F.get(sizes, t))

@@ -75,3 +75,11 @@ def test_lines_by_hand(spark):
     got = {r.doc_id: r.license for r in li.scan(df).collect()}
     wrong = [(k, got.get(i, "none"), t) for i, (k, t) in enumerate(HAND) if got.get(i, "none") != k]
     assert len(wrong) <= 1, wrong
+
+
+def test_hints_stand_wherever_an_anchor_does(spark):
+    words = ["MIT", "licence", "License", "Lizenz", "licenza", "copyright", "copyleft", "GPLv2", "LGPL", "agpl", "GNU", "apache", "Creative Commons", "cc by", "CC-BY", "ccby", "cc0", "CC 0", "cc-0", "public domain", "rights reserved", "permission",
+             "redistributed", "proprietary", "MPL", "SPDX", "warranty", "warranties", "liable", "noninfringement", "merchantability", "unauthorized copying", "contributors may"]
+    for w in words:
+        assert re.search(li.ANCHOR, f"a {w} b", re.ASCII), w
+        assert "MIT" in w or any(h in w.lower() for h in li.HINTS), w
