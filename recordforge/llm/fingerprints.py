@@ -20,6 +20,9 @@ SALT = "recordforge-fingerprint"
 #: Ranges of ids that a pass in id order is cut into: so many for each shuffle partition, looked up in two steps.
 RANGES_PER_PARTITION, MAX_RANGES = 6, 1 << 16
 
+#: A class of more than this fraction of all rows is met by a broadcast of its one row.
+HOT = 1000
+
 _LEAST = -(1 << 63)
 
 
@@ -44,27 +47,27 @@ def fingerprint(canon: Column) -> Column:
 def exact_groups(docs: DataFrame) -> DataFrame:
     """Exact duplicates of ``docs (doc_id, text)``: doc_id, fingerprint, class_id, class_size; a row for each row.
 
-    class_id is the smallest doc_id with the same canonical bytes, class_size the number of such rows. Counts by
-    fingerprint are summed map-side; only texts of buckets with several rows move, each compared with its
-    bucket's first text, and texts that differ in spite of equal digests are grouped by
-    their bytes. Null texts count as empty ones; a null doc_id names a class only where it has no other; repeated rows are
+    class_id is the smallest doc_id with the same canonical bytes, class_size the number of such rows. Rows are
+    grouped by fingerprint and bytes with partial sums, so a task sends one row of a text however many copies it has. Ids
+    then meet their class by fingerprint: classes of more than a HOT-th of all rows, fewer than HOT of them, are broadcast, so no
+    copies gather in one task. Only where texts differ in spite of equal digests do ids meet classes by bytes.
+    Null texts count as empty ones; a null doc_id names a class only where it has no other; repeated rows are
     members like others; an empty table gives no rows; other columns are not read.
     """
     rows = docs.select("doc_id", canonical(F.col("text")).alias("canon")).withColumn("fingerprint", fingerprint(F.col("canon")))
     small = common.written(rows.select("doc_id", "fingerprint"), "fp-rows")
-    count = [F.min("doc_id").alias("class_id"), F.count("*").alias("class_size")]
     out = ["doc_id", "fingerprint", "class_id", "class_size"]
-    size = common.written(small.groupBy("fingerprint").agg(*count), "fp-sizes")
-    alone = small.join(size.where("class_size = 1"), "fingerprint").select(*out)
-    many = rows.join(size.where("class_size > 1").select("fingerprint"), "fingerprint")
-    # the text that stands for a bucket: one row a bucket, found with a partial minimum on each task
-    shown = many.groupBy("fingerprint").agg(F.min("canon").alias("shown"))
-    met = many.join(shown, "fingerprint").withColumn("differs", F.when(F.col("canon") != F.col("shown"), F.col("canon")))
-    met = common.written(met.select("doc_id", "fingerprint", "differs"), "fp-met")
-    same, differ = met.where("differs is null"), met.where("differs is not null")
-    same = same.join(same.groupBy("fingerprint").agg(*count), "fingerprint").select(*out)
-    differ = differ.join(differ.groupBy("fingerprint", "differs").agg(*count), ["fingerprint", "differs"]).select(*out)
-    return alone.unionByName(same).unionByName(differ)
+    texts = rows.groupBy("fingerprint", "canon").agg(F.min("doc_id").alias("class_id"), F.count("*").alias("class_size"))
+    buckets = texts.groupBy("fingerprint").agg(F.min("class_id").alias("class_id"), F.sum("class_size").alias("class_size"), F.count("*").alias("n_texts"))
+    buckets = common.written(buckets, "fp-buckets")
+    total, clashes = buckets.agg(F.sum("class_size"), F.count_if(F.col("n_texts") > 1)).first()
+    hot = F.broadcast(buckets.where(F.col("class_size") * F.lit(HOT) > F.lit(total or 0)))
+    cold = buckets.where(F.col("class_size") * F.lit(HOT) <= F.lit(total or 0))
+    named = small.join(hot, "fingerprint").unionByName(small.join(hot, "fingerprint", "left_anti").join(cold, "fingerprint"))
+    if not clashes:
+        return named.select(*out)
+    apart = rows.join(buckets.where("n_texts > 1").select("fingerprint"), "fingerprint").join(texts, ["fingerprint", "canon"])
+    return named.where("n_texts = 1").select(*out).unionByName(apart.select(*out))
 
 
 def _place(cuts: list[int], k: Column) -> Column:

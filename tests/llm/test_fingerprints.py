@@ -60,6 +60,13 @@ def test_equal_digests_of_different_texts_are_told_apart(spark, monkeypatch):
     assert got == {(1, 1, 2), (3, 1, 2), (2, 2, 2), (4, 2, 2), (5, 5, 2), (None, 5, 2), (6, 6, 1)}
 
 
+def test_large_classes_and_small_ones_meet_their_rows(spark, monkeypatch):
+    monkeypatch.setattr(fp, "HOT", 3)  # only the first class holds more than a third of the rows
+    rows = [(i, "Same  text") for i in range(40)] + [(100 + i, f"other {i // 2}") for i in range(40)]
+    got = {r.doc_id: (r.class_id, r.class_size) for r in fp.exact_groups(frame(spark, rows)).collect()}
+    assert got == {i: (0, 40) for i in range(40)} | {100 + i: (100 + i // 2 * 2, 2) for i in range(40)}
+
+
 def test_place_equals_bisection(spark):
     rng = random.Random(1)
     for size in (0, 1, 2, 7, 100, 331):
