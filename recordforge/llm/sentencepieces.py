@@ -270,8 +270,8 @@ def default_path() -> str:
 def encode(docs: DataFrame, pieces: Pieces, check: bool = False) -> DataFrame:
     """``docs`` (all columns kept) with n_pieces and ids; with ``check`` also round_trip.
 
-    A null or empty text has no ids. round_trip: whether decoding the ids gives the text (U+2581, which stands for a space, read as
-    one; null as empty). Whole texts are encoded. Columns of these names are replaced;
+    A null or empty text has no ids. round_trip: whether decoding the ids gives the text itself, null as empty. A text
+    that holds U+2581, which stands for a space, comes back with a space in its place and has false. Whole texts are encoded. Columns of these names are replaced;
     repeated rows get equal results; an empty table stays empty.
     """
     new = {"n_pieces": T.LongType(), "ids": T.ArrayType(T.IntegerType(), False)} | ({"round_trip": T.BooleanType()} if check else {})
@@ -294,7 +294,7 @@ def encode(docs: DataFrame, pieces: Pieces, check: bool = False) -> DataFrame:
                 cols = [*b.slice(at, stop - at).columns, pa.array(n), pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(ids))]
                 if check:
                     back = [encoder.pieces.decode(ids[i:j].tolist()) for i, j in zip(offsets, offsets[1:])]
-                    cols.append(pa.array([x == (t or "").replace(MARK, " ") for x, t in zip(back, texts[at:stop])]))
+                    cols.append(pa.array([x == (t or "") for x, t in zip(back, texts[at:stop])]))
                 yield pa.RecordBatch.from_arrays(cols, names=schema.names)
                 at = stop
 
