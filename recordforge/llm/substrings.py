@@ -2,7 +2,8 @@
 
 A window that starts anywhere else too is removed with all its words; repeated windows of a document
 are merged into maximal intervals. The hashes are rolling polynomials modulo 2**64 over mixed
-word hashes, taken from running sums of a whole batch of texts at once, in two lanes (128 bits).
+word hashes, taken from running sums of a whole batch of texts at once, in two lanes of 64 bits.
+Both lanes are over one 64-bit hash of each word, and bytes are not compared after.
 
 Counting every window would shuffle more than the input. Each window therefore is filed
 under its minimizer: the word gram with the smallest hash among those inside it. Equal windows
