@@ -21,7 +21,7 @@ def texts():
     return out
 
 
-@pytest.mark.parametrize("name", ["stem_contamination", "incomplete_records"])
+@pytest.mark.parametrize("name", ["stem_contamination", "incomplete_records", "cross_search", "coherence_score"])
 def test_odd_texts_equal_sql(spark, tmp_path, name):
     docs = [(i, t, "en", f"s{i % 3}", len(t or "")) for i, t in enumerate(texts())]
     spark.createDataFrame(docs, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
