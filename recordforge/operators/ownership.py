@@ -56,17 +56,25 @@ def first_in_range(points: DataFrame, ranges: DataFrame, at: str, start: str, en
     """Distinct points that any range holds, with the smallest ``name`` of those ranges. Points and bounds are whole numbers.
 
     A range is cut into aligned runs of 1, 2, 4, ... numbers, at most two of a length; a point lies in one run of each
-    length. So wide and many ranges cost rows by the logarithm of their width, not by their cells.
+    length. So wide and many ranges cost rows by the logarithm of their width, not by their cells. What of a range lies
+    outside the points' span holds none of them and is cut off, so no run is longer than the span.
     """
     lo, hi = F.col(start).cast("long"), F.col(end).cast("long")
-    level = F.explode(F.sequence(F.lit(0), F.lit(62)))
-    r = ranges.where((lo <= hi) & F.col(name).isNotNull()).select(name, lo.alias("_lo"), (hi + 1).alias("_hi"), level.alias("_level"))
+    p = points.where(F.col(at).isNotNull()).select(at).distinct()
+    number = F.col(at).cast("long")
+    span = F.col("_max").cast("decimal(20,0)") - F.col("_min").cast("decimal(20,0)") + 2  # it may not fit into 64 bits
+    wide = p.agg(F.min(number).alias("_min"), F.max(number).alias("_max")).where("_min is not null")
+    wide = wide.select("_min", "_max", F.least(F.lit(62), F.ceil(F.log2(span.cast("double"))).cast("int")).alias("_top"))
+    level = F.explode(F.sequence(F.lit(0), F.col("_top"))).alias("_level")
+    r = ranges.where((lo <= hi) & F.col(name).isNotNull()).select(name, lo.alias("_lo"), hi.alias("_hi")).crossJoin(F.broadcast(wide)).where("_lo <= _max and _hi >= _min")
+    r = r.select(name, F.greatest("_lo", "_min").alias("_lo"), (F.least("_hi", "_max") + 1).alias("_hi"), level)
     left, right = F.expr("-shiftright(-_lo, _level)"), F.expr("shiftright(_hi, _level)")
     r = r.select(name, "_level", left.alias("_l"), right.alias("_r")).where("_l < _r")
     run = F.filter(F.array(F.when(F.expr("_l & 1") == 1, F.col("_l")), F.when(F.expr("_r & 1") == 1, F.col("_r") - 1)), lambda x: x.isNotNull())
     runs = r.select(name, "_level", F.explode(run).alias("_run")).groupBy("_level", "_run").agg(F.min(name).alias(name))
-    p = points.where(F.col(at).isNotNull()).select(at).distinct().withColumn("_level", level).withColumn("_run", F.expr(f"shiftright(cast({at} as bigint), _level)"))
-    return p.join(runs, ["_level", "_run"]).groupBy(at).agg(F.min(name).alias(name))
+    p = p.crossJoin(F.broadcast(wide)).select(at, level).withColumn("_run", F.expr(f"shiftright(cast({at} as bigint), _level)"))
+    # Spark's size check knows nothing of the rows by level and would hold all of them in memory
+    return p.hint("merge").join(runs, ["_level", "_run"]).groupBy(at).agg(F.min(name).alias(name))
 
 
 def toc_run(rows: DataFrame) -> DataFrame:

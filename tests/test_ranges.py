@@ -23,3 +23,20 @@ def test_chapters_beyond_forty_count(spark, tmp_path):
     spark.createDataFrame([(p,) for p in (1, 5, 9, 10, 25)], "p_partkey long").write.parquet(f"{tmp_path}/part.parquet")
     got = registry.QUERIES["chapter_for_every_page"](spark, str(tmp_path)).collect()
     assert sorted(map(tuple, got)) == [(1, 41), (5, 7), (9, 41), (25, 9000)]
+
+
+def test_points_by_level_are_never_held_as_a_whole(spark):
+    """Their rows by level are many more than Spark's size check expects, so no join may build a table in memory from them."""
+    df = O.first_in_range(spark.range(50).withColumnRenamed("id", "page"), spark.createDataFrame([(1, 5, 10**9)], "chapter long, lo long, hi long"), "page", "lo", "hi", "chapter")
+    assert sorted(df.collect()) == [(p, 1) for p in range(5, 50)]
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "HashJoin" not in plan
+
+
+def test_ends_of_the_numbers(spark):
+    top, low = 2**63 - 1, -(2**63) + 1
+    df = O.first_in_range(
+        spark.createDataFrame([(low,), (0,), (top - 1,)], "page long"), spark.createDataFrame([(3, low, top), (2, 0, top), (1, top, top)], "chapter long, lo long, hi long"), "page", "lo", "hi", "chapter"
+    )
+    assert sorted(map(tuple, df.collect())) == [(low, 3), (0, 2), (top - 1, 2)]
+    assert O.first_in_range(spark.createDataFrame([], "page long"), spark.createDataFrame([(3, 1, 2)], "chapter long, lo long, hi long"), "page", "lo", "hi", "chapter").collect() == []
