@@ -44,12 +44,31 @@ def relabel(rows: DataFrame, line: str, letter: str) -> DataFrame:
 
 
 def complete_tables(rows: DataFrame) -> DataFrame:
-    """``rows (chapter, id, pos, markdown)``: a table gets the largest same-header sibling's rows if its own are a proper subset: with ``healed``."""
-    t = rows.withColumn("h", MD.header_key(F.col("markdown"))).withColumn("r", MD.table_rows(F.col("markdown")))
-    donor = t.select("chapter", "h", F.col("id").alias("d_id"), F.col("pos").alias("d_pos"), F.col("r").alias("d_r"), F.col("markdown").alias("d_md"))
-    pairs = t.join(donor, ["chapter", "h"]).where((F.col("id") != F.col("d_id")) & (F.size(F.array_except("r", "d_r")) == 0) & (F.size("d_r") > F.size("r")))
-    best = pairs.groupBy("chapter", "id", "pos").agg(F.max_by("d_md", F.struct(F.size("d_r"), -F.col("d_id"), -F.col("d_pos"))).alias("better"))
-    return rows.join(best, ["chapter", "id", "pos"], "left").withColumn("healed", F.coalesce("better", "markdown")).drop("better")
+    """``rows (chapter, id, pos, markdown)``: a table gets the largest same-header sibling's rows if its own are a proper subset: with ``healed``.
+
+    Tables of a chapter with equal rows are a class, whose first table and first of another id are all that it can give. Classes meet, not
+    tables: one that holds all rows of another holds that one's rarest row, too, so they meet on it.
+    """
+    by = ["chapter", "r"]
+    t = rows.withColumn("r", MD.table_rows(F.col("markdown")))
+    header = lambda r: F.coalesce(F.get(r, F.lit(0)), F.lit(""))
+    g = t.where("chapter is not null and id is not null and pos is not null")
+    least = F.min_by(F.struct("id", "pos", "markdown"), F.struct("id", "pos")).alias("one")
+    first = g.groupBy(*by).agg(least)
+    other = g.join(first.select(*by, F.col("one.id").alias("first_id")), by).where("id <> first_id").groupBy(*by).agg(least)
+    classes = first.select(*by).withColumn("h", header(F.col("r")))
+    each = classes.select("*", F.explode(F.array_distinct(F.concat("r", F.array("h")))).alias("row"))
+    count = each.groupBy("chapter", "h", "row").agg(F.count("*").alias("n"))
+    asks = each.join(count, ["chapter", "h", "row"]).groupBy(*by, "h").agg(F.min_by("row", F.struct("n", "row")).alias("row"))
+    has = each.select("chapter", "h", "row", F.col("r").alias("d_r"))
+    met = asks.join(has, ["chapter", "h", "row"]).where((F.size("d_r") > F.size("r")) & (F.size(F.array_except("r", "d_r")) == 0)).select(*by, "d_r")
+    gifts = first.unionByName(other).select("chapter", F.col("r").alias("d_r"), "one")
+    given = met.join(gifts, ["chapter", "d_r"]).select(*by, F.struct(F.size("d_r"), -F.col("one.id"), -F.col("one.pos")).alias("rank"), F.col("one.id").alias("d_id"), F.col("one.markdown").alias("md"))
+    best = given.groupBy(*by).agg(F.max_by(F.struct("d_id", "md"), "rank").alias("b"))
+    second = given.join(best.select(*by, F.col("b.d_id").alias("b_id")), by).where("d_id <> b_id").groupBy(*by).agg(F.max_by("md", "rank").alias("next"))
+    best = best.join(second, by, "left").select(*by, "b", "next")
+    better = F.when(F.col("id").isNull() | F.col("pos").isNull(), None).when(F.col("b.d_id") != F.col("id"), F.col("b.md")).otherwise(F.col("next"))
+    return t.join(best, by, "left").withColumn("healed", F.coalesce(better, "markdown")).select(*rows.columns, "healed")
 
 
 def short_siblings(rows: DataFrame) -> DataFrame:
