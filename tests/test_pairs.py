@@ -98,3 +98,14 @@ def test_shared_segments_equal_all_pairs(spark):
             if common >= P.SEGMENT_MIN_SHINGLES and longest >= P.SEGMENT_MIN_CHARS:
                 want[i, j] = (common, longest, i if len(x) > len(y) else j)
     assert got == want and len(want) > 20
+
+
+def test_coherence_is_read_of_paired_records_only(spark):
+    from recordforge.operators import flags
+
+    stem = "a stem that is long enough to be compared with the other stems of its chapter, word by word"
+    rows = spark.createDataFrame([(1, 1, stem, "stem long"), (1, 2, stem, ""), (1, 3, "short", "other")], "chapter int, id long, stem string, payload string")
+    out = flags.duplicate_texts(rows)
+    assert [(r.q_no, r.detail) for r in out.collect()] == [(2, "like 1")]
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert any("LeftSemi" in line and "id" in line for line in plan.splitlines() if "chapter" not in line)
