@@ -20,6 +20,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
@@ -28,7 +29,7 @@ from . import common
 MARK = "▁"
 #: Chunks of more bytes are walked alone, and not remembered.
 LONG = 256
-#: Chunks that a worker remembers, and characters of text that it takes at once.
+#: Chunks that a worker remembers, and bytes of text that it takes at once (one text at least).
 MEMORY, AT_ONCE = 250_000, 1 << 20
 #: What a character without a piece costs beyond the worst piece.
 PENALTY = 10.0
@@ -267,6 +268,16 @@ def default_path() -> str:
     return public_tokenizers.path("piece_bpe_32k.model")
 
 
+def slices(texts: pa.Array, most: int) -> Iterator[tuple[int, int]]:
+    """Bounds of runs of texts of at most so many bytes, or of one text."""
+    stops = np.concatenate([[0], np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64))])
+    at = 0
+    while at < len(texts):
+        stop = max(at + 1, int(np.searchsorted(stops, stops[at] + most, "right")) - 1)
+        yield at, stop
+        at = stop
+
+
 def encode(docs: DataFrame, pieces: Pieces, check: bool = False) -> DataFrame:
     """``docs`` (all columns kept) with n_pieces and ids; with ``check`` also round_trip.
 
@@ -282,21 +293,15 @@ def encode(docs: DataFrame, pieces: Pieces, check: bool = False) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(held.value)
         for b in batches:
-            texts = b.column("text").to_pylist()
-            at = 0
-            while at < len(texts):
-                stop, size = at, 0
-                while stop < len(texts) and (stop == at or size + len(texts[stop] or "") <= AT_ONCE):
-                    size += len(texts[stop] or "")
-                    stop += 1
-                ids, n = encoder.encode(texts[at:stop])
+            column = b.column("text")
+            for at, stop in slices(column, AT_ONCE):
+                texts = column.slice(at, stop - at).to_pylist()  # a batch may hold far more text than is taken at once
+                ids, n = encoder.encode(texts)
                 offsets = np.concatenate([[0], np.cumsum(n)])
                 cols = [*b.slice(at, stop - at).columns, pa.array(n), pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(ids))]
                 if check:
-                    back = [encoder.pieces.decode(ids[i:j].tolist()) for i, j in zip(offsets, offsets[1:])]
-                    cols.append(pa.array([x == (t or "") for x, t in zip(back, texts[at:stop])]))
+                    cols.append(pa.array([encoder.pieces.decode(ids[i:j].tolist()) == (t or "") for t, i, j in zip(texts, offsets, offsets[1:])], pa.bool_()))
                 yield pa.RecordBatch.from_arrays(cols, names=schema.names)
-                at = stop
 
     return common.map_in_arrow(docs, run, schema)
 

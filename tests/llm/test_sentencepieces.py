@@ -96,3 +96,11 @@ def test_query_and_decoding(spark, pieces, library, tmp_path):
     assert sorted(str((r.doc_id, r.text)) for r in back) == sorted(str((d, (t or "").replace(sp.MARK, " "))) for d, t in rows)
     df.limit(0).write.parquet(f"{tmp_path}/b/documents.parquet")
     assert sp.op9_sentencepiece(spark, f"{tmp_path}/b").collect() == []
+
+
+def test_texts_are_taken_by_bytes():
+    import pyarrow as pa
+
+    texts = ["é" * 5, None, "", "abc", "x" * 50, "ab", None]
+    assert list(sp.slices(pa.array(texts), 12)) == [(0, 3), (3, 4), (4, 5), (5, 7)]
+    assert list(sp.slices(pa.array([], pa.string()), 12)) == []
