@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from recordforge.functions import patterns as P
@@ -46,14 +46,17 @@ def relabel(rows: DataFrame, line: str, letter: str) -> DataFrame:
 def complete_tables(rows: DataFrame) -> DataFrame:
     """``rows (chapter, id, pos, markdown)``: a table gets the largest same-header sibling's rows if its own are a proper subset: with ``healed``.
 
-    Tables of a chapter with equal rows are a class, whose first table and first of another id are all that it can give. Classes meet, not
-    tables: one that holds all rows of another holds that one's rarest row, too, so they meet on it.
+    A text that a chapter repeats is read once, for the first two ids that have it. Texts of a chapter with equal rows are a class, whose first
+    table and first of another id are all that it can give. Classes meet, not tables: one that holds all rows of another holds that one's
+    rarest row, too, so they meet on it.
     """
-    by = ["chapter", "r"]
-    t = rows.withColumn("r", MD.table_rows(F.col("markdown")))
+    by, same = ["chapter", "r"], ["chapter", "text"]
+    t = rows.withColumn("text", X.text("markdown"))
     header = lambda r: F.coalesce(F.get(r, F.lit(0)), F.lit(""))
-    g = t.where("chapter is not null and id is not null and pos is not null")
-    least = F.min_by(F.struct("id", "pos", "markdown"), F.struct("id", "pos")).alias("one")
+    g = t.where("chapter is not null and id is not null and pos is not null").groupBy(*same, "id").agg(F.min("pos").alias("pos"))
+    # always reads pos, and n % 2 below is no lower limit: so all that is made of g shares one exchange
+    g = g.withColumn("n", F.row_number().over(Window.partitionBy(*same).orderBy("id"))).where("n <= 2 and pos is not null").withColumn("r", MD.table_rows(F.col("text")))
+    least = F.min(F.struct("id", "pos", F.col("text").alias("markdown"))).alias("one")
     first = g.groupBy(*by).agg(least)
     other = g.join(first.select(*by, F.col("one.id").alias("first_id")), by).where("id <> first_id").groupBy(*by).agg(least)
     classes = first.select(*by).withColumn("h", header(F.col("r")))
@@ -68,7 +71,8 @@ def complete_tables(rows: DataFrame) -> DataFrame:
     second = given.join(best.select(*by, F.col("b.d_id").alias("b_id")), by).where("d_id <> b_id").groupBy(*by).agg(F.max_by("md", "rank").alias("next"))
     best = best.join(second, by, "left").select(*by, "b", "next")
     better = F.when(F.col("id").isNull() | F.col("pos").isNull(), None).when(F.col("b.d_id") != F.col("id"), F.col("b.md")).otherwise(F.col("next"))
-    return t.join(best, by, "left").withColumn("healed", F.coalesce(better, "markdown")).select(*rows.columns, "healed")
+    best = g.where("n % 2 = 1").select(*same, "r").join(best, by).select(*same, "b", "next")
+    return t.join(best, same, "left").withColumn("healed", F.coalesce(better, "markdown")).select(*rows.columns, "healed")
 
 
 def short_siblings(rows: DataFrame) -> DataFrame:
@@ -125,8 +129,6 @@ def donate_heads(rows: DataFrame) -> DataFrame:
 
     With ``healed``; nothing that holds text is overwritten.
     """
-    from pyspark.sql import Window
-
     own = F.regexp_instr(X.text("solution"), F.lit(P.SOLUTION_TO_QUESTION))
     mine = F.regexp_extract(X.text("solution"), P.SOLUTION_TO_QUESTION, 1).try_cast("int") == F.col("q_no")
     glued = (own > 3) & mine
