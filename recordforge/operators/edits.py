@@ -48,14 +48,15 @@ def clip(items: DataFrame, *keep: str) -> DataFrame:
     return out.select("response", "q_no", *keep, F.when(F.col("there") & (F.col("n") != F.col("q_no")) & (head != ""), head).otherwise(F.col("body")).alias("solution"))
 
 
-def cross_search(fragments: DataFrame, records: DataFrame, head: int = 120, n: int = 5, gram: int = 4) -> DataFrame:
+def cross_search(fragments: DataFrame, records: DataFrame, head: int | Column = 120, n: int = 5, gram: int = 4) -> DataFrame:
     """First record (by q_no) whose normalised solution holds a fragment's normalised head: frag, q_no. Blank heads find nothing.
 
+    head: how many characters of the normalised text are its head, a number or a column of fragments. A blank that ends them counts.
     A solution that holds a head holds all its runs of n whole words inside, and all its runs of ``gram`` characters. So
     heads with enough words meet solutions on one run of words, the first that is not cut by either end;
     others on their rarest run of characters, or as a whole if they are shorter than that. Each meets on one key, and the text confirms.
     """
-    f = fragments.select("frag", F.substring(X.norm(F.col("text")), 1, head).alias("head")).where("head <> ''")
+    f = fragments.select("frag", F.substring(X.norm(F.col("text")), F.lit(1), F.lit(head)).alias("head")).where("head <> ''")
     r = records.select("q_no", X.norm(F.col("solution")).alias("body"))
     words = X.tokens(F.col("head"))
     inner = F.slice(words, F.lit(2), F.lit(n))  # the first and last word may be parts of longer ones

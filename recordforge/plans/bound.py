@@ -488,8 +488,9 @@ SELECT frag, min(q_no) AS q_no FROM f JOIN r ON strpos(body, head) > 0 WHERE hea
 )
 def cross_search(spark, d):
     b, t = table(spark, d, "benchmark"), table(spark, d, "documents")
-    short = t.join(b.select(F.col("item_id").alias("doc_id")), "doc_id", "left_semi").select((100000 + F.col("doc_id")).alias("frag"), F.substring(X.norm(F.col("text")), 1, 12).alias("text"))
-    return E.cross_search(b.select(F.col("item_id").alias("frag"), "text").unionByName(short), t.select(F.col("doc_id").alias("q_no"), F.col("text").alias("solution")))
+    short = t.join(b.select(F.col("item_id").alias("doc_id")), "doc_id", "left_semi").select((100000 + F.col("doc_id")).alias("frag"), "text", F.lit(12).alias("size"))
+    fragments = b.select(F.col("item_id").alias("frag"), "text", F.lit(120).alias("size")).unionByName(short)
+    return E.cross_search(fragments, t.select(F.col("doc_id").alias("q_no"), F.col("text").alias("solution")), F.col("size"))
 
 
 _HEADED = f"""o AS (SELECT o_orderkey AS row_id, o_custkey % 5 AS chapter, o_orderkey % 700 + 1 AS q_no, (o_orderkey * 7 + 3) % 900 + 1 AS m, o_orderpriority AS t, o_orderkey % 4 AS i FROM orders),

@@ -33,3 +33,16 @@ def test_odd_texts_equal_sql(spark, tmp_path, name):
     df = registry.QUERIES[name](spark, str(tmp_path))
     want = con.execute(f"select {', '.join(df.columns)} from ({registry.ORACLES[name]})").fetchall()
     assert sorted(map(str, map(tuple, df.collect()))) == sorted(map(str, want))
+
+
+def test_a_head_keeps_the_blank_that_ends_it(spark, tmp_path):
+    """Twelve characters of "lens of the eye" end in a blank: neither "lens of themes" nor a text that ends there holds them."""
+    docs = [(0, "lens of themes"), (1, "all the lens of the"), (2, "Lens of  the eye"), (3, "a lens of the eye"), (4, "iris of them"), (5, "x iris of the eye"), (6, "iris of the eye")]
+    spark.createDataFrame(docs, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(2, "no such text"), (6, "all the lens of the ")], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    con = duckdb.connect()
+    for t in ("documents", "benchmark"):
+        con.execute(f"create view {t} as select * from '{tmp_path}/{t}.parquet/*.parquet'")
+    got = registry.QUERIES["cross_search"](spark, str(tmp_path)).collect()
+    want = con.execute(registry.ORACLES["cross_search"]).fetchall()
+    assert sorted(map(tuple, got)) == sorted(want) == [(6, 1), (100002, 2), (100006, 5)]
