@@ -60,23 +60,24 @@ def cross_search(fragments: DataFrame, records: DataFrame, head: int | Column =
     r = records.select("q_no", X.norm(F.col("solution")).alias("body"))
     words = X.tokens(F.col("head"))
     inner = F.slice(words, F.lit(2), F.lit(n))  # the first and last word may be parts of longer ones
-    f = f.withColumn("run", F.when(F.size(words) >= n + 2, F.array_join(inner, " ")))
+    f = f.withColumn("run", F.when(F.size(words) >= n + 2, F.array_join(inner, " "))).persist()
     by_words = f.where("run is not null").select("frag", "head", F.col("run").alias("s"))
     runs = r.select("q_no", F.explode(X.shingles(F.col("body"), n)).alias("s"))
     pairs = by_words.join(runs, "s").select("frag", "head", "q_no")
 
     def pieces(c: Column, k: Column) -> Column:
-        """Distinct runs of k characters; cut from the array of characters, as places in a string are not found at once."""
-        return X.let(F.split(c, ""), lambda x: F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(F.lit(1), F.size(x) - k + 1)), lambda i: F.array_join(F.slice(x, i, k), ""))))
+        """Distinct runs of k characters (and some cut inside a character of two units, from either side alike)."""
+        return F.array_distinct(F.regexp_extract_all(c, F.concat(F.lit("(?s)(?=(.{"), k.cast("string"), F.lit("}))")), F.lit(1)))
 
     few = f.where("run is null").withColumn("k", F.least(F.lit(gram), F.char_length("head")))
-    lengths = sorted(x.k for x in few.select("k").distinct().collect())  # at most ``gram`` numbers
+    lengths = sorted(x.k for x in few.select("k").distinct().collect())  # at most ``gram`` numbers; f is then held, and its size known
     if lengths:
         asked = few.select("frag", "head", F.explode(pieces(F.col("head"), F.col("k"))).alias("s"))
-        every = F.flatten(F.array(*[pieces(F.col("body"), F.lit(k)) for k in lengths]))
-        held = r.select("q_no", F.explode(every).alias("s")).join(asked.select("s").distinct(), "s", "left_semi")
+        held = r.select("q_no", F.explode(F.flatten(F.array(*[pieces(F.col("body"), F.lit(k)) for k in lengths]))).alias("s"))
         count = held.groupBy("s").agg(F.count("*").alias("c"))
         rarest = asked.join(count, "s", "left").groupBy("frag", "head").agg(F.min(F.struct(F.coalesce("c", F.lit(0)).alias("c"), "s")).alias("b")).select("frag", "head", F.col("b.s").alias("s"))
+        rarest = rarest.persist()
+        rarest.count()  # like that of f: where they are small, the runs of all bodies need not be shuffled to meet them
         pairs = pairs.unionByName(rarest.join(held, "s").select("frag", "head", "q_no"))
     hit = pairs.join(r, "q_no").where(F.contains("body", F.col("head")))
     return hit.groupBy("frag").agg(F.min("q_no").alias("q_no"))

@@ -1,6 +1,7 @@
 """Near-duplicate stems against all pairs, also where texts have few words."""
 
 import random
+import re
 from collections import defaultdict
 from difflib import SequenceMatcher
 
@@ -109,3 +110,13 @@ def test_coherence_is_read_of_paired_records_only(spark):
     assert [(r.q_no, r.detail) for r in out.collect()] == [(2, "like 1")]
     plan = out._jdf.queryExecution().optimizedPlan().toString()
     assert any("LeftSemi" in line and "id" in line for line in plan.splitlines() if "chapter" not in line)
+
+
+def test_cross_search_does_not_shuffle_all_runs(spark):
+    """A few heads, of few words and of many, go to the bodies' runs: these are not sorted to meet them."""
+    rows = [(i, f"the optic nerve number {i} carries impulses from the retina to the brain") for i in range(30)]
+    r = spark.createDataFrame(rows, "q_no int, solution string").repartition(3)
+    f = spark.createDataFrame([(1, "number 7 c"), (2, rows[9][1]), (3, "absent")], "frag int, text string").repartition(2)
+    out = edits.cross_search(f, r)
+    assert {x.frag: x.q_no for x in out.collect()} == {1: 7, 2: 9}
+    assert not re.search(r"SortMergeJoin \[s#\d+L?\], \[s#\d+L?\], Inner", out._jdf.queryExecution().sparkPlan().toString())
