@@ -112,6 +112,28 @@ def test_coherence_is_read_of_paired_records_only(spark):
     assert any("LeftSemi" in line and "id" in line for line in plan.splitlines() if "chapter" not in line)
 
 
+def test_near_duplicates_shuffle_prefixes_not_runs(spark, monkeypatch):
+    """Each text makes a few rows, also where parts are small, and parts lose no pair."""
+    rng = random.Random(6)
+    base = ["".join(rng.choice("abcdefgh ijkl") for _ in range(rng.choice([90, 110, 140, 380, 600]))) for _ in range(20)]
+    rows = list(enumerate(t[:k] + "!" + t[k:] for t in base for k in range(0, 84, 7)))
+    df = spark.createDataFrame([("c", i, t) for i, t in rows], "chapter string, id long, text string").repartition(3)
+    _, want = brute(rows)
+    for least, rows_a_text in ((1_024, 3), (16, 40)):
+        monkeypatch.setattr(pairs, "LEAST_PART", least, raising=False)
+        out = pairs.near_duplicates(df)
+        assert {(r.a, r.b) for r in out.collect()} == want and len(want) > 800
+        plan, made = out._jdf.queryExecution().executedPlan(), []
+        todo = [plan]
+        while todo:
+            p = todo.pop()
+            if p.nodeName() == "Generate":
+                made.append(p.metrics().get("numOutputRows").get().value())
+            todo += [p.executedPlan()] if p.nodeName() == "AdaptiveSparkPlan" else [p.plan()] if "QueryStage" in p.nodeName() else []
+            todo += [p.children().apply(i) for i in range(p.children().size())]
+        assert made and max(made) <= rows_a_text * len(rows)
+
+
 def test_cross_search_does_not_shuffle_all_runs(spark):
     """A few heads, of few words and of many, go to the bodies' runs: these are not sorted to meet them."""
     rows = [(i, f"the optic nerve number {i} carries impulses from the retina to the brain") for i in range(30)]
