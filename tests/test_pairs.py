@@ -134,6 +134,30 @@ def test_near_duplicates_shuffle_prefixes_not_runs(spark, monkeypatch):
         assert made and max(made) <= rows_a_text * len(rows)
 
 
+def test_near_duplicates_without_a_chapter(spark):
+    """Records without a chapter are compared with each other, and with no chapter's."""
+    from recordforge.operators import flags
+
+    t = "".join(random.Random(8).choices("abcdefgh", k=150))
+    rows = [(None, 1, t), (None, 2, t + "."), (None, 3, t.upper()), ("c", 4, t), ("", 5, t), ("", 6, "," + t)]
+    df = spark.createDataFrame(rows, "chapter string, id long, text string")
+    assert {(r.a, r.b) for r in pairs.near_duplicates(df).collect()} == {(1, 2), (1, 3), (5, 6)}
+    out = flags.duplicate_texts(df.selectExpr("chapter", "id", "text stem", "'' payload"))
+    assert {(r.chapter, r.q_no, r.detail) for r in out.collect()} == {(None, 2, "like 1"), (None, 3, "like 1"), ("", 6, "like 5")}
+
+
+def test_near_duplicates_of_classes_in_either_order(spark):
+    """From 200 characters on the matcher's second text has junk: only the copy that comes second links the shorter text with the longer."""
+    short = "".join(random.Random(7).choices("abcd", k=199))
+    long = "xy" + short
+    assert SequenceMatcher(None, short, long).ratio() < P.DUP_RATIO <= SequenceMatcher(None, long, short).ratio()
+    found = lambda rows: {(r.a, r.b) for r in pairs.near_duplicates(spark.createDataFrame([("c", *r) for r in rows], "chapter string, id long, text string")).collect()}
+    assert found([(1, short), (2, long), (3, short)]) == {(1, 2), (1, 3)}
+    assert found([(1, short), (2, long)]) == set()
+    assert found([(1, short), (2, short), (3, long)]) == {(1, 2)}
+    assert found([(1, long), (2, short)]) == {(1, 2)}
+
+
 def test_cross_search_does_not_shuffle_all_runs(spark):
     """A few heads, of few words and of many, go to the bodies' runs: these are not sorted to meet them."""
     rows = [(i, f"the optic nerve number {i} carries impulses from the retina to the brain") for i in range(30)]
